@@ -2,15 +2,18 @@
 
 from __future__ import annotations
 
+from quirekit.llm.order_minhash import op4_order_minhash
+from quirekit.llm.source_mix import ORACLE as OP8
+from quirekit.llm.source_mix import op8_source_mix
 from quirekit.llm.url_reputation import ORACLE as OP1
 from quirekit.llm.url_reputation import op1_url_reputation
 
 
 def queries() -> dict:
     """Query name to callable."""
-    return {f.__name__: f for f in (op1_url_reputation,)}
+    return {f.__name__: f for f in (op1_url_reputation, op4_order_minhash, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL."""
-    return {"op1_url_reputation": OP1}
+    return {"op1_url_reputation": OP1, "op8_source_mix": OP8}
