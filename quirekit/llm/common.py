@@ -58,7 +58,7 @@ def salted_join(left: DataFrame, right: DataFrame, key: str, rows: str, total: i
     return a.join(b, [key, "_salt"], "left").drop("_salt")
 
 
-def text_bytes(batch: pa.RecordBatch, name: str = "text") -> list[str]:
+def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     """The texts of a batch, null as empty."""
     return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
