@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from quirekit.llm.order_minhash import op4_order_minhash
+from quirekit.llm.ordinal_quality import op7_ordinal_quality
 from quirekit.llm.power_pack import op3_power_pack
 from quirekit.llm.source_mix import ORACLE as OP8
 from quirekit.llm.source_mix import op8_source_mix
@@ -12,7 +13,7 @@ from quirekit.llm.url_reputation import op1_url_reputation
 
 def queries() -> dict:
     """Query name to callable."""
-    return {f.__name__: f for f in (op1_url_reputation, op3_power_pack, op4_order_minhash, op8_source_mix)}
+    return {f.__name__: f for f in (op1_url_reputation, op3_power_pack, op4_order_minhash, op7_ordinal_quality, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
