@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from quirekit.llm.context_tree import op5_context_tree
 from quirekit.llm.order_minhash import op4_order_minhash
 from quirekit.llm.ordinal_quality import op7_ordinal_quality
 from quirekit.llm.power_pack import op3_power_pack
@@ -13,7 +14,7 @@ from quirekit.llm.url_reputation import op1_url_reputation
 
 def queries() -> dict:
     """Query name to callable."""
-    return {f.__name__: f for f in (op1_url_reputation, op3_power_pack, op4_order_minhash, op7_ordinal_quality, op8_source_mix)}
+    return {f.__name__: f for f in (op1_url_reputation, op3_power_pack, op4_order_minhash, op5_context_tree, op7_ordinal_quality, op8_source_mix)}
 
 
 def oracle_sql() -> dict[str, str]:
