@@ -11,6 +11,7 @@ import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from quirekit.llm.common import texts_of
 
@@ -171,10 +172,8 @@ def score_quality(docs: DataFrame, model: OrdinalModel, *, least: float = 0.5) -
             kept = pa.array([bool(t[-1] >= least) for t in tails], pa.bool_())
             yield pa.RecordBatch.from_arrays([*b.columns, e, last, kept], names=[*b.schema.names, "expected_grade", "tail", "keep"])
 
-    schema = out.schema
-    for name, kind in (("expected_grade", "double"), ("tail", "double"), ("keep", "boolean")):
-        schema = schema.add(name, kind)
-    return out.mapInArrow(score, schema)
+    more = [T.StructField(n, k) for n, k in (("expected_grade", T.DoubleType()), ("tail", T.DoubleType()), ("keep", T.BooleanType()))]
+    return out.mapInArrow(score, T.StructType([*out.schema.fields, *more]))
 
 
 def graded(labels: DataFrame) -> DataFrame:

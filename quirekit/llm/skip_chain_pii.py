@@ -278,7 +278,7 @@ def find_personal_data(docs: DataFrame, field: Field, *, least: float = 0.9) ->
                 rows.append([{"kind": k, "start": s, "end": e, "base": own} for k, x, y in zip(KINDS, base, added, strict=True) for s, e, own in sorted([(*v, True) for v in x] + [(*v, False) for v in y])])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, kind)], names=[*b.schema.names, "spans"])
 
-    return out.mapInArrow(find, out.schema.add("spans", SPANS))
+    return out.mapInArrow(find, T.StructType([*out.schema.fields, T.StructField("spans", SPANS)]))
 
 
 def redact(docs: DataFrame) -> DataFrame:
