@@ -6,6 +6,7 @@ from quirekit.llm.context_tree import op5_context_tree
 from quirekit.llm.order_minhash import op4_order_minhash
 from quirekit.llm.ordinal_quality import op7_ordinal_quality
 from quirekit.llm.power_pack import op3_power_pack
+from quirekit.llm.prefix_join import op9_prefix_join
 from quirekit.llm.rotated_codes import op6_rotated_codes
 from quirekit.llm.skip_chain_pii import op2_skip_chain_pii
 from quirekit.llm.source_mix import ORACLE as OP8
@@ -16,7 +17,7 @@ from quirekit.llm.url_reputation import op1_url_reputation
 
 def queries() -> dict:
     """Query name to callable."""
-    return {f.__name__: f for f in (op1_url_reputation, op2_skip_chain_pii, op3_power_pack, op4_order_minhash, op5_context_tree, op6_rotated_codes, op7_ordinal_quality, op8_source_mix)}
+    return {f.__name__: f for f in (op1_url_reputation, op2_skip_chain_pii, op3_power_pack, op4_order_minhash, op5_context_tree, op6_rotated_codes, op7_ordinal_quality, op8_source_mix, op9_prefix_join)}
 
 
 def oracle_sql() -> dict[str, str]:
