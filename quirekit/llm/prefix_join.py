@@ -17,6 +17,8 @@ from quirekit.llm.context_tree import Words, normal
 #: Shingles are ordered by how often their cell of a histogram of 2^CELL_BITS cells occurs, then by hash. Any order gives
 #: the same links; this one keeps frequent shingles out of prefixes. The histogram has a fixed size.
 CELL_BITS, STRIPE_BITS = 20, 12
+#: Size, in 64-bit words, of the bit mark of a set that bounds from above how many shingles two sets share.
+MARK_WORDS = 32
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -79,7 +81,7 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n (size of the set), set_key (of the whole set), group_key (of size and prefix), prefix (array)."""
+    """doc_id, n (size of the set), set_key (of the whole set), group_key (of size and prefix), prefix, marks (arrays)."""
     # ranks of counts rather than counts: two bytes more than needed for any number of documents
     counts = _histogram(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(counts, return_inverse=True)[1].astype(np.uint32))
@@ -87,12 +89,12 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, rank = Shingler(width), shared.value
         for b in batches:
-            n, key, group, prefix = [], [], [], []
+            n, key, group, prefix, marks = [], [], [], [], []
             for t in texts_of(b):
                 h = s.of(t)
                 n.append(len(h))
                 if not len(h):
-                    key.append(None), group.append(None), prefix.append(None)
+                    key.append(None), group.append(None), prefix.append(None), marks.append(None)
                     continue
                 p = prefix_length(len(h), percent)
                 r = rank[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
@@ -100,9 +102,12 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
                 key.append(xxhash.xxh3_128_hexdigest(h.tobytes()))
                 group.append(xxhash.xxh3_128_hexdigest(len(h).to_bytes(8, "little") + first.tobytes()))
                 prefix.append(first)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.string()), pa.array(group, pa.string()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "group_key", "prefix"])
+                bits = np.zeros(64 * MARK_WORDS, bool)
+                bits[(h & np.uint64(64 * MARK_WORDS - 1)).astype(np.int64)] = True
+                marks.append(np.packbits(bits).view(np.int64))
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.string()), pa.array(group, pa.string()), pa.array(prefix, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "group_key", "prefix", "marks"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n long, set_key string, group_key string, prefix array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n long, set_key string, group_key string, prefix array<long>, marks array<long>")
 
 
 def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
@@ -135,6 +140,13 @@ def _may_link(n: str, m: str, i: str, j: str, percent: int):
     return (small * 100 >= large * percent) & (F.least(F.col(n) - F.col(i), F.col(m) - F.col(j)) >= need)
 
 
+def _marks_fit(percent: int):
+    """Whether the sets of a and b may share enough: a bit of one mark that the other lacks is a shingle of the one only."""
+    lacking = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda t, c: t + c)
+    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / (100 + percent))
+    return (F.col("n") - lacking("ma", "mb") >= need) & (F.col("m") - lacking("mb", "ma") >= need)
+
+
 def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) -> DataFrame:
     """Components of the documents whose sets of word shingles have a Jaccard likeness of ``percent`` / 100 or more.
 
@@ -152,7 +164,7 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     found = written(_prefixes(docs, width, percent))
     usable = found.where("doc_id is not null and n > 0")
     # one document of each set; its copies follow it
-    once = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("group_key").alias("group_key"), F.first("prefix").alias("prefix")))
+    once = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("group_key").alias("group_key"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks")))
     groups = written(once.groupBy("group_key").agg(F.min("id").alias("head"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
     places = groups.select("group_key", "head", "members", "n", F.posexplode("prefix").alias("i", "shingle"))
     often = places.groupBy("shingle").agg(F.sum("members").alias("listed")).where("listed > 1")
@@ -166,14 +178,15 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     stars = stars.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = _verified(stars, docs, width, percent)
     labels = connected_components(edges)
-    # lists that still hold several components
-    placed = lists.join(members, "group_key").join(labels, "id", "left").select("shingle", "id", "n", "i", F.coalesce("component", "id").alias("label"))
-    placed = written(placed)
-    mixed = placed.groupBy("shingle").agg(F.min("label").alias("x"), F.max("label").alias("y")).where("x <> y").select("shingle")
-    rest = placed.join(mixed, "shingle", "left_semi")
-    one = rest.select("shingle", F.col("id").alias("a"), F.col("n").alias("n"), F.col("i").alias("i"), F.col("label").alias("la"))
-    two = rest.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("lb"))
-    more = one.join(two, "shingle").where((F.col("a") < F.col("b")) & (F.col("la") != F.col("lb")) & _may_link("n", "m", "i", "j", percent)).select("a", "b").distinct()
+    # lists that still hold several components; the pairs of a list's most frequent component needn't be looked at
+    placed = written(lists.join(members, "group_key").join(labels, "id", "left").select("shingle", "id", "n", "i", F.coalesce("component", "id").alias("label")))
+    per_label = placed.groupBy("shingle", "label").agg(F.count("*").alias("rows"))
+    main = per_label.groupBy("shingle").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("labels")).where("labels > 1").select("shingle", F.col("x.label").alias("main"))
+    rest = written(placed.join(main, "shingle").join(once.select("id", "marks"), "id"))
+    one = rest.where("label <> main").select("shingle", F.col("id").alias("a"), "n", "i", F.col("label").alias("la"), F.col("marks").alias("ma"))
+    two = rest.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("lb"), F.col("marks").alias("mb"))
+    more = one.join(two, "shingle").where((F.col("la") != F.col("lb")) & _may_link("n", "m", "i", "j", percent) & _marks_fit(percent))
+    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
     edges = written(edges.unionAll(_verified(more.join(stars, ["a", "b"], "left_anti"), docs, width, percent)))
     labels = connected_components(edges)
     known = written(once.join(labels, "id", "left").select("set_key", "copies", F.coalesce("component", "id").alias("component_id")))
