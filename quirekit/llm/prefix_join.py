@@ -19,6 +19,8 @@ from quirekit.llm.context_tree import Words, normal
 CELL_BITS, STRIPE_BITS = 20, 12
 #: Size, in 64-bit words, of the bit mark of a set that bounds from above how many shingles two sets share.
 MARK_WORDS = 32
+#: Ids, of eight bytes each, that may be broadcast.
+BROADCAST_IDS = 1 << 20
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -81,7 +83,7 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
 
 
 def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n (size of the set), set_key (of the whole set), group_key (of size and prefix), prefix, marks (arrays)."""
+    """doc_id, n (size of the set), set_key (of the whole set), group_key (of size and prefix; 16 bytes each), prefix (array)."""
     # ranks of counts rather than counts: two bytes more than needed for any number of documents
     counts = _histogram(docs, width)
     shared = docs.sparkSession.sparkContext.broadcast(np.unique(counts, return_inverse=True)[1].astype(np.uint32))
@@ -89,43 +91,48 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, rank = Shingler(width), shared.value
         for b in batches:
-            n, key, group, prefix, marks = [], [], [], [], []
+            n, key, group, prefix = [], [], [], []
             for t in texts_of(b):
                 h = s.of(t)
                 n.append(len(h))
                 if not len(h):
-                    key.append(None), group.append(None), prefix.append(None), marks.append(None)
+                    key.append(None), group.append(None), prefix.append(None)
                     continue
                 p = prefix_length(len(h), percent)
                 r = rank[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 first = h[np.lexsort((h, r))[:p]].astype(np.int64)
-                key.append(xxhash.xxh3_128_hexdigest(h.tobytes()))
-                group.append(xxhash.xxh3_128_hexdigest(len(h).to_bytes(8, "little") + first.tobytes()))
+                key.append(xxhash.xxh3_128_digest(h.tobytes()))
+                group.append(xxhash.xxh3_128_digest(len(h).to_bytes(8, "little") + first.tobytes()))
                 prefix.append(first)
-                bits = np.zeros(64 * MARK_WORDS, bool)
-                bits[(h & np.uint64(64 * MARK_WORDS - 1)).astype(np.int64)] = True
-                marks.append(np.packbits(bits).view(np.int64))
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.string()), pa.array(group, pa.string()), pa.array(prefix, pa.list_(pa.int64())), pa.array(marks, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "group_key", "prefix", "marks"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(group, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "group_key", "prefix"])
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n long, set_key string, group_key string, prefix array<long>, marks array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n long, set_key binary, group_key binary, prefix array<long>")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int) -> DataFrame:
-    """Sets (id, shingles) of the documents in ``ids``."""
+def _sets(docs: DataFrame, ids: DataFrame, width: int, marks: bool = False) -> DataFrame:
+    """Sets (id, shingles) of the documents in ``ids`` (a written table), or their bit marks (id, marks).
+
+    Up to BROADCAST_IDS ids are sent to the texts; beyond that the texts are shuffled to the ids."""
+
+    def mark(h: np.ndarray) -> np.ndarray:
+        bits = np.zeros(64 * MARK_WORDS, bool)
+        bits[(h & np.uint64(64 * MARK_WORDS - 1)).astype(np.int64)] = True
+        return np.packbits(bits).view(np.int64)
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingler(width)
         for b in batches:
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([s.of(t).astype(np.int64) for t in texts_of(b)], pa.list_(pa.int64()))], names=["id", "shingles"])
+            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([mark(s.of(t)) if marks else s.of(t).astype(np.int64) for t in texts_of(b)], pa.list_(pa.int64()))], names=["id", name])
 
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(ids, "id", "left_semi")
-    return wanted.mapInArrow(find, "id long, shingles array<long>")
+    name = "marks" if marks else "shingles"
+    small = ids.count() <= BROADCAST_IDS
+    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    return wanted.mapInArrow(find, f"id long, {name} array<long>")
 
 
 def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """The pairs (a, b) whose sets are as alike as ``percent``, exactly."""
-    pairs = written(pairs)
-    ids = pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct()
+    """Those of the pairs (a, b; a written table) whose sets are as alike as ``percent``, exactly."""
+    ids = written(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct())
     sets = written(_sets(docs, ids, width))
     one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
     two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
@@ -163,35 +170,39 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     """
     found = written(_prefixes(docs, width, percent))
     usable = found.where("doc_id is not null and n > 0")
-    # one document of each set; its copies follow it
-    once = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("group_key").alias("group_key"), F.first("prefix").alias("prefix"), F.first("marks").alias("marks")))
-    groups = written(once.groupBy("group_key").agg(F.min("id").alias("head"), F.count("*").alias("members"), F.first("n").alias("n"), F.first("prefix").alias("prefix")))
-    places = groups.select("group_key", "head", "members", "n", F.posexplode("prefix").alias("i", "shingle"))
+    # one document of each set, which its copies follow; a group is known by its smallest document
+    once = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("group_key").alias("group_key")))
+    sizes = once.groupBy("group_key").agg(F.min("id").alias("head"), F.count("*").cast("int").alias("members"))
+    members = written(once.join(sizes, "group_key").select("head", "id", "members"))
+    groups = usable.groupBy("group_key").agg(F.min("doc_id").alias("head"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
+    groups = written(groups.join(members.select("head", "members").distinct(), "head").select("head", "members", "n", "prefix"))
+    places = groups.select("head", "members", "n", F.posexplode("prefix").alias("i", "shingle"))
     often = places.groupBy("shingle").agg(F.sum("members").alias("listed")).where("listed > 1")
     lists = written(places.join(often, "shingle"))
     central = lists.groupBy("head").agg(F.sum("listed").alias("central"))
     ranked = lists.join(central, "head")
     leaders = ranked.groupBy("shingle").agg(F.max(F.struct("central", "head", "n", "i")).alias("l")).select("shingle", F.col("l.head").alias("leader"), F.col("l.n").alias("m"), F.col("l.i").alias("j"))
-    near = lists.join(leaders, "shingle").where(_may_link("n", "m", "i", "j", percent)).select("leader", "group_key").distinct()
-    members = once.select("group_key", "id")
-    stars = near.join(members, "group_key").select(F.col("leader").alias("a"), F.col("id").alias("b")).unionAll(groups.join(members, "group_key").select(F.col("head").alias("a"), F.col("id").alias("b")))
-    stars = stars.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
+    near = lists.join(leaders, "shingle").where(_may_link("n", "m", "i", "j", percent)).select("leader", "head").distinct()
+    stars = near.join(members, "head").select(F.col("leader").alias("a"), F.col("id").alias("b")).unionAll(members.select(F.col("head").alias("a"), F.col("id").alias("b")))
+    stars = written(stars.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     edges = _verified(stars, docs, width, percent)
     labels = connected_components(edges)
     # lists that still hold several components; the pairs of a list's most frequent component needn't be looked at
-    placed = written(lists.join(members, "group_key").join(labels, "id", "left").select("shingle", "id", "n", "i", F.coalesce("component", "id").alias("label")))
+    placed = written(lists.drop("members").join(members, "head").join(labels, "id", "left").select("shingle", "id", "n", "i", F.coalesce("component", "id").alias("label")))
     per_label = placed.groupBy("shingle", "label").agg(F.count("*").alias("rows"))
     main = per_label.groupBy("shingle").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("labels")).where("labels > 1").select("shingle", F.col("x.label").alias("main"))
-    rest = written(placed.join(main, "shingle").join(once.select("id", "marks"), "id"))
+    rest = written(placed.join(main, "shingle"))
+    marks = written(_sets(docs, written(rest.select("id").distinct()), width, marks=True))
+    rest = written(rest.join(marks, "id"))
     one = rest.where("label <> main").select("shingle", F.col("id").alias("a"), "n", "i", F.col("label").alias("la"), F.col("marks").alias("ma"))
     two = rest.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("lb"), F.col("marks").alias("mb"))
     more = one.join(two, "shingle").where((F.col("la") != F.col("lb")) & _may_link("n", "m", "i", "j", percent) & _marks_fit(percent))
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = written(edges.unionAll(_verified(more.join(stars, ["a", "b"], "left_anti"), docs, width, percent)))
+    edges = written(edges.unionAll(_verified(written(more.join(stars, ["a", "b"], "left_anti")), docs, width, percent)))
     labels = connected_components(edges)
     known = written(once.join(labels, "id", "left").select("set_key", "copies", F.coalesce("component", "id").alias("component_id")))
     total = known.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
-    key = F.when(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull(), F.col("set_key")).otherwise(F.concat(F.lit("none:"), F.monotonically_increasing_id().cast("string")))
+    key = F.when(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull(), F.col("set_key")).otherwise(F.concat(F.lit("none:"), F.monotonically_increasing_id().cast("string")).cast("binary"))
     out = salted_join(found.select("doc_id", F.col("n").alias("n_shingles"), key.alias("set_key")), known, "set_key", "copies", total, F.xxhash64("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
