@@ -9,6 +9,8 @@ from quirekit.llm.power_pack import op3_power_pack
 from quirekit.llm.prefix_join import op9_prefix_join
 from quirekit.llm.rotated_codes import op6_rotated_codes
 from quirekit.llm.skip_chain_pii import op2_skip_chain_pii
+from quirekit.llm.slot_table import op10_slot_table
+from quirekit.llm.slot_table import oracle as op10
 from quirekit.llm.source_mix import ORACLE as OP8
 from quirekit.llm.source_mix import op8_source_mix
 from quirekit.llm.url_reputation import ORACLE as OP1
@@ -17,9 +19,9 @@ from quirekit.llm.url_reputation import op1_url_reputation
 
 def queries() -> dict:
     """Query name to callable."""
-    return {f.__name__: f for f in (op1_url_reputation, op2_skip_chain_pii, op3_power_pack, op4_order_minhash, op5_context_tree, op6_rotated_codes, op7_ordinal_quality, op8_source_mix, op9_prefix_join)}
+    return {f.__name__: f for f in (op1_url_reputation, op2_skip_chain_pii, op3_power_pack, op4_order_minhash, op5_context_tree, op6_rotated_codes, op7_ordinal_quality, op8_source_mix, op9_prefix_join, op10_slot_table)}
 
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL."""
-    return {"op1_url_reputation": OP1, "op8_source_mix": OP8}
+    return {"op1_url_reputation": OP1, "op8_source_mix": OP8, "op10_slot_table": op10()}
