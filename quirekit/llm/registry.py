@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from corpus_pipeline import run
 from quirekit.llm.context_tree import op5_context_tree
 from quirekit.llm.order_minhash import op4_order_minhash
 from quirekit.llm.ordinal_quality import op7_ordinal_quality
@@ -19,7 +20,8 @@ from quirekit.llm.url_reputation import op1_url_reputation
 
 def queries() -> dict:
     """Query name to callable."""
-    return {f.__name__: f for f in (op1_url_reputation, op2_skip_chain_pii, op3_power_pack, op4_order_minhash, op5_context_tree, op6_rotated_codes, op7_ordinal_quality, op8_source_mix, op9_prefix_join, op10_slot_table)}
+    operators = (op1_url_reputation, op2_skip_chain_pii, op3_power_pack, op4_order_minhash, op5_context_tree, op6_rotated_codes, op7_ordinal_quality, op8_source_mix, op9_prefix_join, op10_slot_table)
+    return {f.__name__: f for f in operators} | {"pipeline": run}
 
 
 def oracle_sql() -> dict[str, str]:
