@@ -13,50 +13,52 @@ from pyspark.sql import types as T
 from quirekit.functions import markup
 from quirekit.functions.text import TABLE_BLOCK
 
+STRINGS = T.ArrayType(T.StringType())
 
-@F.pandas_udf("array<string>")
+
+@F.pandas_udf(STRINGS)
 def page_errors(text: pd.Series) -> pd.Series:
     """What is wrong with a page's text; null counts as empty."""
     return text.map(lambda t: markup.page_errors(t or ""))
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(STRINGS)
 def table_errors(block: pd.Series) -> pd.Series:
     """What is wrong with an HTML table block."""
     return block.map(lambda b: markup.read_table(b or "")[0])
 
 
-@F.pandas_udf("struct<html:string,error:string>")
+@F.pandas_udf(T.StructType().add("html", "string").add("error", "string"))
 def sanitize_table(block: pd.Series) -> pd.DataFrame:
     """The block written anew, or why it can't be."""
     rows = [markup.read_table(b or "") for b in block]
     return pd.DataFrame({"html": [None if e else out for e, out in rows], "error": ["; ".join(e) or None for e, _ in rows]})
 
 
-@F.pandas_udf("struct<md:string,n_notes:int>")
+@F.pandas_udf(T.StructType().add("md", "string").add("n_notes", T.IntegerType()))
 def _extract_notes(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([markup.extract_notes(t or "") for t in text], columns=["md", "n_notes"])
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def reflow(text: pd.Series) -> pd.Series:
     """A section's lines as paragraphs."""
     return text.map(lambda t: markup.reflow(t or ""))
 
 
-@F.pandas_udf("struct<text:string,n:int>")
+@F.pandas_udf(T.StructType().add("text", "string").add("n", T.IntegerType()))
 def repair_inline(text: pd.Series) -> pd.DataFrame:
     """English function words between full-width characters put right."""
     return pd.DataFrame([markup.repair_inline(t or "") for t in text], columns=["text", "n"])
 
 
-@F.pandas_udf("array<string>")
+@F.pandas_udf(STRINGS)
 def typeset_paragraphs(text: pd.Series) -> pd.Series:
     """Paragraphs with long ones cut after sentence ends."""
     return text.map(lambda t: markup.typeset_paragraphs(t or ""))
 
 
-@F.pandas_udf("string")
+@F.pandas_udf(T.StringType())
 def last_header(text: pd.Series) -> pd.Series:
     """Header of the last table of a page, empty if there is none."""
     return text.map(lambda t: markup.last_header(t or ""))
@@ -65,7 +67,7 @@ def last_header(text: pd.Series) -> pd.Series:
 def split_long(text: Column, most: int = 250, slack: int = 200) -> Column:
     """One paragraph cut after sentence ends; short ones don't go to Python."""
 
-    @F.pandas_udf("array<string>")
+    @F.pandas_udf(STRINGS)
     def cut(s: pd.Series) -> pd.Series:
         return s.map(lambda t: None if t is None else markup.split_long(t, most, slack))
 

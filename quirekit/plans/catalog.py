@@ -6,9 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from quirekit.plans import books
+
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES: tuple = ()
+_MODULES: tuple = (books,)
 
 
 def queries() -> dict[str, Query]:
