@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirekit.plans import books
+from quirekit.plans import books, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES: tuple = (books,)
+_MODULES: tuple = (books, pages)
 
 
 def queries() -> dict[str, Query]:
