@@ -39,7 +39,8 @@ def duration_seconds(text: Column) -> Column:
     amount = lambda u: F.aggregate(F.regexp_extract_all(s, F.lit(r"(\d+(?:\.\d+)?)" + u), F.lit(1)), F.lit(0.0), lambda t, x: t + x.cast("double"))
     total = amount("h") * 3600 + amount("m") * 60 + amount("s")
     bare = F.when(s.rlike(r"^\d+(\.\d+)?$"), s.try_cast("double"))
-    return F.greatest(F.ceil(F.when(s.rlike(r"\d[hms]"), total).otherwise(bare)), F.lit(1)).cast("int")
+    seconds = F.when(s.rlike(r"\d[hms]"), total).otherwise(bare)
+    return F.when(seconds.isNotNull(), F.greatest(F.ceil(seconds), F.lit(1))).cast("int")
 
 
 def retry_delay(message: Column) -> Column:

@@ -51,7 +51,7 @@ def is_pipe_line(c: Column) -> Column:
 def pipe_cells(c: Column) -> Column:
     """Trimmed cells of a pipe-table line; a pipe after one backslash belongs to its cell."""
     inner = F.regexp_replace(strip(c), r"^\||(?<!\\)\|$", "")
-    return F.transform(F.split(inner, r"(?<!\\)\|"), F.trim)
+    return F.transform(F.split(inner, r"(?<!\\)\|"), lambda x: F.trim(x))
 
 
 def is_separator(cells: Column) -> Column:

@@ -56,14 +56,10 @@ def heading_errors(expected: DataFrame, made: DataFrame, key: str) -> DataFrame:
     return out.where("source_lost or target_has")
 
 
-def _folded(c: Column, start: Column, step) -> Column:
-    return F.aggregate(lines(c), start, step)
-
-
 def swap_headings(c: Column) -> Column:
     """A heading followed by its quoted translation: the translation becomes the heading, the source the quote; pairs go left to right."""
     pair = r"(?m)^([ \t]*)(#{1,6})[ \t]+([^\n]+)\n([ \t]*)>[ \t]*([^\n]+)$"
-    return F.regexp_replace(c, pair, r"$1$2 $5\n$4> $3")
+    return F.regexp_replace(c, pair, "$1$2 $5\n$4> $3")
 
 
 def blank_before_quotes(c: Column) -> Column:

@@ -51,7 +51,7 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 def first_line(spark: SparkSession, path: str) -> DataFrame:
     """The first line that isn't blank of each text file: an indirection to another path."""
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.input_file_name().alias("file"), F.try_element_at(F.filter(F.transform(F.split("value", r"\r?\n"), F.trim), lambda x: x != ""), F.lit(1)).alias("target"))
+    return df.select(F.input_file_name().alias("file"), F.try_element_at(F.filter(F.transform(F.split("value", r"\r?\n"), lambda x: F.trim(x)), lambda x: x != ""), F.lit(1)).alias("target"))
 
 
 def epub_entries(spark: SparkSession, folder: str) -> DataFrame:
