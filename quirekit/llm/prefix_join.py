@@ -16,7 +16,8 @@ from quirekit.llm.context_tree import Words, normal
 
 #: Shingles are ordered by how often their cell of a histogram of 2^CELL_BITS cells occurs, then by hash. Any order gives
 #: the same links; this one keeps frequent shingles out of prefixes. The histogram has a fixed size.
-CELL_BITS, STRIPE_BITS = 20, 12
+CELL_BITS, STRIPE_BITS = 22, 14
+COUNT_TYPES = (np.uint8, np.uint16, np.uint32, np.int64)
 #: Size, in 64-bit words, of the bit mark of a set that bounds from above how many shingles two sets share.
 MARK_WORDS = 32
 #: Ids, of eight bytes each, that may be broadcast.
@@ -67,12 +68,14 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
             held = [s.of(t) for t in texts_of(b)]
             if held:
                 total += np.bincount((np.concatenate(held) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
-        parts = total.reshape(stripes, -1)
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(stripes, dtype=np.int32)), pa.array([p.astype(np.int32 if p.max() < 2**31 else np.int64).tobytes() for p in parts], pa.binary())], names=["stripe", "counts"])
+        # the narrowest type that holds a stripe's counts
+        parts = [p.astype(next(t for t in COUNT_TYPES if p.max() <= np.iinfo(t).max)) for p in total.reshape(stripes, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(stripes, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["stripe", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
         size = 1 << STRIPE_BITS
-        total = sum(np.frombuffer(x, np.int32 if len(x) == 4 * size else np.int64).astype(np.int64) for x in pdf["counts"])
+        width = {np.dtype(t).itemsize: t for t in COUNT_TYPES}
+        total = sum(np.frombuffer(x, width[len(x) // size]).astype(np.int64) for x in pdf["counts"])
         return pd.DataFrame({"stripe": pdf["stripe"].iloc[:1], "counts": [total.tobytes()]})
 
     got = docs.select("text").mapInArrow(count, "stripe int, counts binary").groupBy("stripe").applyInPandas(add, "stripe int, counts binary").collect()
@@ -84,9 +87,9 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
 
 def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n (size of the set), set_key (of the whole set), group_key (of size and prefix; 16 bytes each), prefix (array)."""
-    # ranks of counts rather than counts: two bytes more than needed for any number of documents
-    counts = _histogram(docs, width)
-    shared = docs.sparkSession.sparkContext.broadcast(np.unique(counts, return_inverse=True)[1].astype(np.uint32))
+    # places of the counts among all counts rather than counts: they fit a narrower type
+    values, ranks = np.unique(_histogram(docs, width), return_inverse=True)
+    shared = docs.sparkSession.sparkContext.broadcast(ranks.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, rank = Shingler(width), shared.value
@@ -177,7 +180,9 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     groups = usable.groupBy("group_key").agg(F.min("doc_id").alias("head"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
     groups = written(groups.join(members.select("head", "members").distinct(), "head").select("head", "members", "n", "prefix"))
     places = groups.select("head", "members", "n", F.posexplode("prefix").alias("i", "shingle"))
-    often = places.groupBy("shingle").agg(F.sum("members").alias("listed")).where("listed > 1")
+    # of the lists of two groups, which chance makes most of, only those stay whose groups fit by size and place
+    often = places.groupBy("shingle").agg(F.sum("members").alias("listed"), F.count("*").alias("_g"), F.min(F.col("n") - F.col("i")).alias("_rest"), F.sum("n").alias("_n"))
+    often = often.where((F.col("listed") > 1) & ((F.col("_g") != 2) | (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent))))).select("shingle", "listed")
     lists = written(places.join(often, "shingle"))
     central = lists.groupBy("head").agg(F.sum("listed").alias("central"))
     ranked = lists.join(central, "head")
@@ -186,7 +191,7 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     stars = near.join(members, "head").select(F.col("leader").alias("a"), F.col("id").alias("b")).unionAll(members.select(F.col("head").alias("a"), F.col("id").alias("b")))
     stars = written(stars.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
     edges = _verified(stars, docs, width, percent)
-    labels = connected_components(edges)
+    labels = written(connected_components(edges))
     # lists that still hold several components; the pairs of a list's most frequent component needn't be looked at
     placed = written(lists.drop("members").join(members, "head").join(labels, "id", "left").select("shingle", "id", "n", "i", F.coalesce("component", "id").alias("label")))
     per_label = placed.groupBy("shingle", "label").agg(F.count("*").alias("rows"))
@@ -198,8 +203,14 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     two = rest.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("lb"), F.col("marks").alias("mb"))
     more = one.join(two, "shingle").where((F.col("la") != F.col("lb")) & _may_link("n", "m", "i", "j", percent) & _marks_fit(percent))
     more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    edges = written(edges.unionAll(_verified(written(more.join(stars, ["a", "b"], "left_anti")), docs, width, percent)))
-    labels = connected_components(edges)
+    late = _verified(written(more.join(stars, ["a", "b"], "left_anti")), docs, width, percent)
+    if not late.isEmpty():
+        # only the components that these links join take part in another search
+        of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
+        between = late.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
+        joined = written(connected_components(between)).withColumnRenamed("component", "root")
+        known_ids = labels.join(joined.withColumnRenamed("id", "component"), "component", "left").select("id", F.coalesce("root", "component").alias("component"))
+        labels = known_ids.unionAll(joined.join(labels, "id", "left_anti").select("id", F.col("root").alias("component")))
     known = written(once.join(labels, "id", "left").select("set_key", "copies", F.coalesce("component", "id").alias("component_id")))
     total = known.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     key = F.when(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull(), F.col("set_key")).otherwise(F.concat(F.lit("none:"), F.monotonically_increasing_id().cast("string")).cast("binary"))
