@@ -90,3 +90,29 @@ def number_key(name: Column) -> tuple[Column, Column, Column]:
     stem = F.regexp_replace(name, r"\.[^.]*$", "")
     number = F.when(stem.rlike("^[0-9]+$"), stem.try_cast("long"))
     return number.isNull(), F.coalesce(number, F.lit(0)), F.lower(name)
+
+
+def is_tableish(c: Column) -> Column:
+    """A looser test for pipe-table lines: a piped line, a bare separator, or short cells between two pipes that don't start as prose."""
+    bare = strip(c)
+    cells = F.transform(F.split(F.regexp_replace(bare, r"^\||\|$", ""), r"\|"), lambda x: strip(x))
+    prose = F.get(cells, F.lit(0)).rlike(r"[\x{4e00}-\x{9fff}]{8}")
+    loose = (F.regexp_count(bare, F.lit(r"\|")) >= 2) & F.forall(cells, lambda x: F.length(x) <= 40) & ~prose
+    return is_pipe_line(c) | bare.rlike(r"^\|?\s*:?-{3,}:?\s*(\|\s*:?-{3,}:?\s*)+\|?$") | loose
+
+
+def is_table_markup(c: Column) -> Column:
+    """A line of HTML table markup: a table tag, a table wrapper or a closing div."""
+    return strip(c).rlike(r"(?i)^</?(table|thead|tbody|tr|th|td)\b|<div\b[^>]*table-wrap|^</div>$")
+
+
+def preview(c: Column, most: int = 50) -> Column:
+    """One line of a text, cut to ``most`` characters with an ellipsis."""
+    line = squeeze(F.coalesce(c, F.lit("")))
+    return F.when(F.length(line) > most, F.concat(F.substring(line, 1, most - 1), F.lit("…"))).otherwise(line)
+
+
+def join_prompt(prompt: Column, name: Column, context: Column) -> Column:
+    """A page's request: the prompt, the page's name, and the table header that it may go on with."""
+    more = F.when(F.coalesce(context, F.lit("")) != "", F.concat(F.lit("The page before ends in a table with this header:\n"), context))
+    return F.concat_ws("\n\n", strip(prompt), F.concat(F.lit("Page: "), name), more)
