@@ -21,7 +21,7 @@ GRAM, TOKEN, END, DOC = 0, 1, 2, 3
 #: At most so many keys of each kind are frequent: those with over 1 in so many of all occurrences.
 FREQUENT = {GRAM: 1 << 22, TOKEN: 1 << 22}
 #: Text bytes handled at a time, and partial counts held before they are merged and sent on.
-PART, HELD = 4 << 20, 1 << 20
+PART, HELD = 2 << 20, 1 << 19
 LOG_HALF = np.log(0.5)
 
 
