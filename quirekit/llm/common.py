@@ -63,6 +63,13 @@ def texts_of(batch: pa.RecordBatch, name: str = "text") -> list[str]:
     return [x or "" for x in batch.column(batch.schema.get_field_index(name)).to_pylist()]
 
 
+def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.RecordBatch]:
+    """The batches in slices of at most ``rows`` rows, so that what is made of one stays small."""
+    for b in batches:
+        for i in range(0, b.num_rows, rows):
+            yield b.slice(i, rows)
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """One table for each run of equal ``key`` in sorted batches, across batch ends; the caller bounds the runs."""
     held: list[pa.RecordBatch] = []

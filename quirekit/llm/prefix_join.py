@@ -11,7 +11,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirekit.llm.common import connected_components, salted_join, texts_of, written
+from quirekit.llm.common import connected_components, salted_join, small, texts_of, written
 from quirekit.llm.context_tree import Words, normal
 
 #: Shingles are ordered by how often their cell of a histogram of 2^CELL_BITS cells occurs, then by hash. Any order gives
@@ -64,7 +64,7 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, total = Shingler(width), np.zeros(1 << CELL_BITS, np.int64)
-        for b in batches:
+        for b in small(batches):
             held = [s.of(t) for t in texts_of(b)]
             if held:
                 total += np.bincount((np.concatenate(held) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
@@ -93,7 +93,7 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, rank = Shingler(width), shared.value
-        for b in batches:
+        for b in small(batches):
             n, key, group, prefix = [], [], [], []
             for t in texts_of(b):
                 h = s.of(t)
@@ -124,7 +124,7 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int, marks: bool = False) -> D
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s = Shingler(width)
-        for b in batches:
+        for b in small(batches):
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([mark(s.of(t)) if marks else s.of(t).astype(np.int64) for t in texts_of(b)], pa.list_(pa.int64()))], names=["id", name])
 
     name = "marks" if marks else "shingles"
