@@ -128,8 +128,8 @@ def _sets(docs: DataFrame, ids: DataFrame, width: int, marks: bool = False) -> D
             yield pa.RecordBatch.from_arrays([b.column(0), pa.array([mark(s.of(t)) if marks else s.of(t).astype(np.int64) for t in texts_of(b)], pa.list_(pa.int64()))], names=["id", name])
 
     name = "marks" if marks else "shingles"
-    small = ids.count() <= BROADCAST_IDS
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if small else ids, "id", "left_semi")
+    few = ids.count() <= BROADCAST_IDS
+    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
     return wanted.mapInArrow(find, f"id long, {name} array<long>")
 
 
