@@ -45,7 +45,7 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     A document without words is never taken. Rows that share id, source and size are repeated alike.
     """
     key = ["doc_id", "source", "size"]
-    taken = mix_sources(docs).groupBy(*key).agg((F.round(F.sum("taken") / F.sum("size"))).cast("int").alias("times")).where("times > 0")
+    taken = mix_sources(docs).where("size > 0").groupBy(*key).agg((F.round(F.sum("taken") / F.sum("size"))).cast("int").alias("times")).where("times > 0")
     sized = docs.withColumn("_size", word_count(F.col("text")))
     same = F.col("d.doc_id").eqNullSafe(F.col("t.doc_id")) & F.col("d.source").eqNullSafe(F.col("t.source")) & (F.col("d._size") == F.col("t.size"))
     rows = sized.alias("d").join(taken.alias("t"), same).withColumn("_copy", F.explode(F.sequence(F.lit(1), F.col("t.times"))))
