@@ -180,10 +180,12 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     groups = usable.groupBy("group_key").agg(F.min("doc_id").alias("head"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
     groups = written(groups.join(members.select("head", "members").distinct(), "head").select("head", "members", "n", "prefix"))
     places = groups.select("head", "members", "n", F.posexplode("prefix").alias("i", "shingle"))
-    # of the lists of two groups, which chance makes most of, only those stay whose groups fit by size and place
+    # of the lists of two groups, which chance makes most of, those stay whose groups fit by size and place; of the others
+    # groups of several members stay, since members are compared with each other only where their group is in a list
     often = places.groupBy("shingle").agg(F.sum("members").alias("listed"), F.count("*").alias("_g"), F.min(F.col("n") - F.col("i")).alias("_rest"), F.sum("n").alias("_n"))
-    often = often.where((F.col("listed") > 1) & ((F.col("_g") != 2) | (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent))))).select("shingle", "listed")
-    lists = written(places.join(often, "shingle"))
+    often = often.withColumn("_fit", (F.col("_g") != 2) | (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent))))
+    often = often.where(((F.col("listed") > 1) & F.col("_fit")) | (F.col("listed") > 2)).select("shingle", "listed", "_fit")
+    lists = written(places.join(often, "shingle").where(F.col("_fit") | (F.col("members") > 1)).drop("_fit"))
     central = lists.groupBy("head").agg(F.sum("listed").alias("central"))
     ranked = lists.join(central, "head")
     leaders = ranked.groupBy("shingle").agg(F.max(F.struct("central", "head", "n", "i")).alias("l")).select("shingle", F.col("l.head").alias("leader"), F.col("l.n").alias("m"), F.col("l.i").alias("j"))

@@ -460,6 +460,16 @@ def test_components_equal_brute_force(spark, docs, none, width, percent):
     assert pj.jaccard_components(none).count() == 0
 
 
+def test_members_link_though_their_lists_hold_a_misfit(spark):
+    # x, y and their head share size and prefix; the one other document that holds the prefix is far too long for them
+    rare, a, b, c = (" ".join(f"{k}{i}" for i in range(n)) for k, n in (("r", 12), ("a", 48), ("b", 48), ("c", 400)))
+    x, y, head = a, a.replace("a24", "o1"), a.replace("a10", "o2").replace("a35", "o3")
+    texts = [f"{rare} s0 s1 {z}" for z in (head, x, y)] + [f"{rare} s0 s1 {c}"] + [f"s0 s1 {x} s0 s1 {y} s0 s1 {head} {c} {b}"] * 6
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r.doc_id: r.component_id for r in pj.jaccard_components(df, width=3, percent=90).collect()}
+    assert [got[i] for i in range(5)] == [0, 1, 1, 3, 4]
+
+
 def test_far_ids_are_shuffled_alike(spark, docs, monkeypatch):
     key = lambda: sorted((str(r.doc_id), r.component_id) for r in pj.jaccard_components(docs, width=5, percent=80).collect())
     want = key()
