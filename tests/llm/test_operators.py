@@ -123,6 +123,20 @@ def test_belief_propagation_is_exact_on_a_tree():
     assert np.allclose(sc.marginals(d, f, rounds=60), p / p.sum(1, keepdims=True), atol=1e-3)
 
 
+def test_evidence_reaches_far_repeats():
+    text = "Call +1 (264) 555-1012 now. " + "Then 555-1012 again. " * 40
+    flat = np.zeros((sc.FEATURES, sc.LABELS)), np.zeros((sc.LABELS, sc.LABELS))
+    field = sc.Field(*flat, 8 * np.eye(sc.LABELS))
+    _, added = sc.tag(text, field, 0.9)
+    assert len(added[3]) == 40
+    # a chain's exact probabilities, by powers of its transition table
+    d = sc.Document([(0, 1)] * 200, np.zeros((200, sc.FEATURES)), np.array([4] + [0] * 199), np.stack([np.arange(199), np.arange(1, 200)], 1))
+    keep = np.exp(8) / (np.exp(8) + sc.LABELS - 1)
+    step = np.full((sc.LABELS, sc.LABELS), (1 - keep) / (sc.LABELS - 1)) + np.eye(sc.LABELS) * (keep - (1 - keep) / (sc.LABELS - 1))
+    want = np.stack([np.linalg.matrix_power(step, k)[4] for k in range(200)])
+    assert np.allclose(sc.marginals(d, field), want, atol=1e-3)
+
+
 def test_pii_query(docs, none):
     got = sc.find_personal_data(docs, sc.train(docs)).collect()
     assert len(got) == len(TEXTS) and got[0]["key"] == "z"
