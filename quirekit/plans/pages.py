@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from quirekit.functions import providers as pv
 from quirekit.functions import text as tx
-from quirekit.operators import figures, links, paragraphs, translation
+from quirekit.operators import figures, links, paragraphs, passages, translation
 from quirekit.operators import pages as pg
 from quirekit.plans import fixtures as fx
 from quirekit.session import table
@@ -82,14 +82,10 @@ def clean_page(s: SparkSession, d: str) -> DataFrame:
 
 
 def merge_suspect(s: SparkSession, d: str) -> DataFrame:
-    """Documents that hold a benchmark passage: rare in the corpus, so candidates come by a shared run of words first."""
-    b = table(s, d, "benchmark").select("item_id", F.col("text").alias("passage"))
-    first = F.array_join(F.slice(F.split(F.col("passage"), r"\s+"), 2, 5), " ")
-    grams = lambda c: F.transform(F.sequence(F.lit(1), F.greatest(F.size(c) - 4, F.lit(1))), lambda i: F.array_join(F.slice(c, i, 5), " "))
-    docs = table(s, d, "documents").select("doc_id", "text").withColumn("words", F.split("text", r"\s+"))
-    hits = docs.select("doc_id", "text", F.explode(F.array_distinct(grams(F.col("words")))).alias("gram")).join(F.broadcast(b.withColumn("gram", first)), "gram")
-    whole = tx.normal_content(F.col("text")).contains(tx.normal_content(F.col("passage")))
-    return hits.where(whole).select("doc_id", "item_id").distinct()
+    """Documents that hold a benchmark passage, both without punctuation and white space."""
+    normal = lambda name: F.when(F.col("text").isNotNull(), tx.normal_content(F.col("text"))).alias(name)
+    found = passages.passages_in(table(s, d, "documents").select("doc_id", normal("text")), table(s, d, "benchmark").select("item_id", normal("passage")))
+    return found.select("doc_id", "item_id")
 
 
 def _two_line(s: SparkSession) -> DataFrame:

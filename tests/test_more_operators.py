@@ -61,3 +61,15 @@ def test_four_page_table(spark):
     assert [bool(x) for x in plain] == [True, False, True, False]
     joined = [r.md for r in pages.merge_pages(df, transitive=True).orderBy("page_no").collect()]
     assert [bool(x) for x in joined] == [True, False, False, False] and joined[0].count("| a | b |") == 1
+
+
+def test_passages_are_found_in_the_normal_form(spark, tmp_path):
+    from quirekit.plans import pages
+
+    docs = ["It said: one, two-three \u2013 four five six; seven (eight).", "one two", "one two three four five six seven", "", None, "\u00e9\U0001f600 long " * 9, "x" * 70, "one two"]
+    items = ["one two three four five six seven eight", "two", "One", "one two three four five six", "", None, "\U0001f600long\u00e9\U0001f600", "x" * 33, "x" * 71, "e", "one two"]
+    spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    spark.createDataFrame(list(enumerate(items)), "item_id long, text string").write.parquet(f"{tmp_path}/benchmark.parquet")
+    plain = lambda t: "".join(c for c in t if c not in " :,-\u2013;().")
+    want = [(i, j) for i, t in enumerate(docs) for j, p in enumerate(items) if t is not None and p is not None and plain(p) in plain(t)]
+    assert sorted((r.doc_id, r.item_id) for r in pages.merge_suspect(spark, str(tmp_path)).collect()) == want
