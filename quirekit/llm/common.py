@@ -44,6 +44,30 @@ def written(df: DataFrame) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+class Tables:
+    """Tables of one computation in the shared folder, deleted as soon as nothing reads them any more."""
+
+    def __init__(self, spark: SparkSession) -> None:
+        self.spark, self.paths = spark, {}
+
+    def put(self, df: DataFrame, *done: DataFrame) -> DataFrame:
+        """``df`` as a table; the tables ``done`` aren't needed after it."""
+        path = shared_dir(self.spark)
+        df.write.parquet(path)
+        out = self.spark.read.schema(df.schema).parquet(path)
+        self.paths[id(out)] = (path, out)
+        self.drop(*done)
+        return out
+
+    def drop(self, *done: DataFrame) -> None:
+        """Deletes tables; the collection makes Spark's cleaner free the shuffles that led to them."""
+        for df in done:
+            path = self.spark._jvm.org.apache.hadoop.fs.Path(self.paths.pop(id(df))[0])
+            path.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(path, True)
+        if done:
+            self.spark._jvm.System.gc()
+
+
 def salted_join(left: DataFrame, right: DataFrame, key: str, rows: str, total: int, salt: Column, salts: int = SALTS) -> DataFrame:
     """``left`` with the columns of ``right`` (unique per ``key``), hot keys split.
 
@@ -70,6 +94,27 @@ def small(batches: Iterator[pa.RecordBatch], rows: int = 500) -> Iterator[pa.Rec
             yield b.slice(i, rows)
 
 
+def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
+    """Tables of sorted batches, cut where ``key`` changes: no run of equal keys is in two; the caller bounds the runs."""
+    held: list[pa.RecordBatch] = []
+    for b in batches:
+        if not b.num_rows:
+            continue
+        k = b.column(b.schema.get_field_index(key)).to_numpy(zero_copy_only=False)
+        cuts = np.flatnonzero(k[1:] != k[:-1]) + 1
+        first = held[-1].column(b.schema.get_field_index(key))[-1].as_py() if held else k[0]
+        cut = int(cuts[-1]) if len(cuts) else 0
+        if first != k[0]:
+            yield pa.Table.from_batches(held)
+            held = []
+        if cut:
+            yield pa.Table.from_batches([*held, b.slice(0, cut)])
+            held = []
+        held.append(b.slice(cut))
+    if held:
+        yield pa.Table.from_batches(held)
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """One table for each run of equal ``key`` in sorted batches, across batch ends; the caller bounds the runs."""
     held: list[pa.RecordBatch] = []
@@ -113,10 +158,11 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         hung = down.join(m, "a").where(F.col("b") != F.col("m")).select(F.col("b").alias("a"), F.col("m").alias("b"))
         return hung.unionAll(m.select("a", F.col("m").alias("b")))
 
-    now = written(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
+    tables = Tables(edges.sparkSession)
+    now = tables.put(edges.where("a <> b").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct())
     mark = None
     for _ in range(rounds):
-        now = written(small_star(large_star(now)).where("a <> b").distinct())
+        now = tables.put(small_star(large_star(now)).where("a <> b").distinct(), now)
         new = now.agg(F.count("*"), F.bit_xor(F.xxhash64("a", "b")), F.sum(F.pmod(F.xxhash64("b", "a"), F.lit(1 << 31)))).first()
         if tuple(new) == mark:
             break

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -11,17 +12,19 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirekit.llm.common import connected_components, salted_join, small, texts_of, written
+from quirekit.llm.common import Tables, connected_components, salted_join, small, texts_of, whole_runs
 from quirekit.llm.context_tree import Words, normal
 
 #: Shingles are ordered by how often their cell of a histogram of 2^CELL_BITS cells occurs, then by hash. Any order gives
 #: the same links; this one keeps frequent shingles out of prefixes. The histogram has a fixed size.
 CELL_BITS, STRIPE_BITS = 22, 14
 COUNT_TYPES = (np.uint8, np.uint16, np.uint32, np.int64)
-#: Size, in 64-bit words, of the bit mark of a set that bounds from above how many shingles two sets share.
-MARK_WORDS = 32
-#: Ids, of eight bytes each, that may be broadcast.
-BROADCAST_IDS = 1 << 20
+#: Bits of a set's mark at least; a mark has as many as the set has shingles, rounded up to a power of two.
+LEAST_MARK = 256
+#: Rows of a list that are compared with as many others at a time, and pairs, and bytes of marks, held at a time.
+BLOCK, PAIRS, MARK_BYTES = 512, 1 << 18, 8 << 20
+#: Rows of eight bytes each that may be broadcast.
+BROADCAST_ROWS = 1 << 18
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
 
 
@@ -85,8 +88,48 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
     return total.ravel()
 
 
+def mark_of(h: np.ndarray) -> bytes:
+    """For each bit whether an odd number of the set's shingles fall on it: as many bits as two marks differ in, so many
+    shingles at least are in one of the sets only."""
+    bits = max(LEAST_MARK, 1 << (len(h) - 1).bit_length())
+    odd = np.bincount((h & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1
+    return np.packbits(odd.astype(np.uint8)).tobytes()
+
+
+def mark_matrix(marks: list[bytes], size: int) -> np.ndarray:
+    """Marks of ``size`` bytes or more as rows of words; of longer ones the halves are laid on each other."""
+    out = np.empty((len(marks), size), np.uint8)
+    for i, m in enumerate(marks):
+        row = np.frombuffer(m, np.uint8)
+        out[i] = row if len(row) == size else np.bitwise_xor.reduce(row.reshape(-1, size))
+    return out.view(np.uint64)
+
+
+def least_shared(n: np.ndarray, m: np.ndarray, percent: int) -> np.ndarray:
+    """Shingles that sets of n and m must share to be as alike as ``percent``."""
+    return -(-percent * (n + m) // (100 + percent))
+
+
+def marks_fit(n: np.ndarray, marks: list[bytes], p: np.ndarray, q: np.ndarray, percent: int) -> np.ndarray:
+    """Whether the marks of the rows p and q leave it open that their sets are as alike as ``percent``."""
+    size = np.array([len(x) for x in marks], np.int64)
+    least, most = np.minimum(size[p], size[q]), n[p] + n[q] - 2 * least_shared(n[p], n[q], percent)
+    fit = np.zeros(len(p), bool)
+    for z in np.unique(least):
+        of = np.flatnonzero(least == z)
+        step = max(1, MARK_BYTES // int(z))
+        for i in range(0, len(of), step):
+            at = of[i : i + step]
+            rows, place = np.unique(np.concatenate([p[at], q[at]]), return_inverse=True)
+            m = mark_matrix([marks[r] for r in rows], int(z))
+            fit[at] = np.bitwise_count(m[place[: len(at)]] ^ m[place[len(at) :]]).sum(1, dtype=np.int64) <= most[at]
+    return fit
+
+
 def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """doc_id, n (size of the set), set_key (of the whole set), group_key (of size and prefix; 16 bytes each), prefix (array)."""
+    """doc_id, n (size of the set), set_key (of the whole set, 16 bytes), group (of size and prefix), prefix and mark.
+
+    Sets so small that none but equal ones can be as alike have neither prefix nor mark."""
     # places of the counts among all counts rather than counts: they fit a narrower type
     values, ranks = np.unique(_histogram(docs, width), return_inverse=True)
     shared = docs.sparkSession.sparkContext.broadcast(ranks.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32))
@@ -94,67 +137,154 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, rank = Shingler(width), shared.value
         for b in small(batches):
-            n, key, group, prefix = [], [], [], []
+            n, key, group, prefix, mark = [], [], [], [], []
             for t in texts_of(b):
                 h = s.of(t)
                 n.append(len(h))
-                if not len(h):
-                    key.append(None), group.append(None), prefix.append(None)
+                whole = xxhash.xxh3_128_digest(h.tobytes()) if len(h) else None
+                key.append(whole)
+                if 100 * len(h) < percent * (len(h) + 1):
+                    group.append(whole and int.from_bytes(whole[:8], "little", signed=True)), prefix.append(None), mark.append(None)
                     continue
                 p = prefix_length(len(h), percent)
                 r = rank[(h >> np.uint64(64 - CELL_BITS)).astype(np.int64)]
                 first = h[np.lexsort((h, r))[:p]].astype(np.int64)
-                key.append(xxhash.xxh3_128_digest(h.tobytes()))
-                group.append(xxhash.xxh3_128_digest(len(h).to_bytes(8, "little") + first.tobytes()))
+                group.append(int.from_bytes(xxhash.xxh3_64_digest(len(h).to_bytes(8, "little") + first.tobytes()), "little", signed=True))
                 prefix.append(first)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(key, pa.binary()), pa.array(group, pa.binary()), pa.array(prefix, pa.list_(pa.int64()))], names=["doc_id", "n", "set_key", "group_key", "prefix"])
+                mark.append(mark_of(h))
+            yield pa.RecordBatch.from_arrays(
+                [b.column(0), pa.array(n, pa.int32()), pa.array(key, pa.binary()), pa.array(group, pa.int64()), pa.array(prefix, pa.list_(pa.int64())), pa.array(mark, pa.binary())],
+                names=["doc_id", "n", "set_key", "group", "prefix", "mark"],
+            )
 
-    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n long, set_key binary, group_key binary, prefix array<long>")
+    return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n int, set_key binary, group long, prefix array<long>, mark binary")
 
 
-def _sets(docs: DataFrame, ids: DataFrame, width: int, marks: bool = False) -> DataFrame:
-    """Sets (id, shingles) of the documents in ``ids`` (a written table), or their bit marks (id, marks).
+def _may_link(n: str, m: str, i: str, j: str, percent: int):
+    """Sizes n, m and the places i, j of the first common element still allow the likeness."""
+    small, large = F.least(n, m), F.greatest(n, m)
+    need = F.ceil(F.lit(percent) * (F.col(n) + F.col(m)) / (100 + percent))
+    return (small * 100 >= large * percent) & (F.least(F.col(n) - F.col(i), F.col(m) - F.col(j)) >= need)
 
-    Up to BROADCAST_IDS ids are sent to the texts; beyond that the texts are shuffled to the ids."""
 
-    def mark(h: np.ndarray) -> np.ndarray:
-        bits = np.zeros(64 * MARK_WORDS, bool)
-        bits[(h & np.uint64(64 * MARK_WORDS - 1)).astype(np.int64)] = True
-        return np.packbits(bits).view(np.int64)
+def _open_pairs(pairs: DataFrame, marks: DataFrame, percent: int) -> DataFrame:
+    """Those of the pairs (a, b) that their marks leave open."""
 
-    def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s = Shingler(width)
-        for b in small(batches):
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array([mark(s.of(t)) if marks else s.of(t).astype(np.int64) for t in texts_of(b)], pa.list_(pa.int64()))], names=["id", name])
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in small(batches, 4096):
+            n = np.concatenate([b.column(i).to_numpy() for i in (2, 4)]).astype(np.int64)
+            k = np.arange(b.num_rows)
+            fit = marks_fit(n, b.column(3).to_pylist() + b.column(5).to_pylist(), k, k + len(k), percent)
+            yield b.select(["a", "b"]).filter(pa.array(fit))
 
-    name = "marks" if marks else "shingles"
-    few = ids.count() <= BROADCAST_IDS
-    wanted = docs.select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(ids) if few else ids, "id", "left_semi")
-    return wanted.mapInArrow(find, f"id long, {name} array<long>")
+    one, two = (marks.select(F.col("id").alias(i), F.col("n").alias(f"n{i}"), F.col("mark").alias(f"m{i}")) for i in "ab")
+    return pairs.join(one, "a").join(two, "b").select("a", "b", "na", "ma", "nb", "mb").mapInArrow(look, "a long, b long")
 
 
-def _verified(pairs: DataFrame, docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Those of the pairs (a, b; a written table) whose sets are as alike as ``percent``, exactly."""
-    ids = written(pairs.select(F.col("a").alias("id")).unionAll(pairs.select(F.col("b").alias("id"))).distinct())
-    sets = written(_sets(docs, ids, width))
-    one = sets.select(F.col("id").alias("a"), F.col("shingles").alias("x"))
-    two = sets.select(F.col("id").alias("b"), F.col("shingles").alias("y"))
-    both = F.size(F.array_intersect("x", "y"))
-    return written(pairs.join(one, "a").join(two, "b").where(100 * both >= percent * (F.size("x") + F.size("y") - both)).select("a", "b").distinct())
+def _verified(pairs: DataFrame, docs: DataFrame, tables: Tables, width: int, percent: int) -> DataFrame:
+    """Those of the pairs (a, b; a table) whose sets are as alike as ``percent``, exactly.
 
+    The sets are made of the texts again and meet once: those of all b of an a, or of up to about BLOCK of them, come to the set of a.
+    """
+    per = pairs.groupBy("a").agg(F.count("*").alias("rows")).withColumn("parts", F.ceil(F.col("rows") / BLOCK).cast("int"))
+    heads = per.select(F.col("a").alias("id"), "a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.lit(0).alias("member"))
+    rest = salted_join(pairs, per, "a", "rows", pairs.count(), F.xxhash64("b")).select(F.col("b").alias("id"), "a", F.pmod(F.xxhash64("b"), "parts").cast("int").alias("part"), F.lit(1).alias("member"))
+    wanted = tables.put(heads.unionAll(rest))
+    few = wanted.count() <= BROADCAST_ROWS
 
-def _may_link(n: str, m: str, i: str, j: str, percent: int):
-    """Sizes n, m and the places i, j of the first common element still allow the likeness."""
-    small, large = F.least(n, m), F.greatest(n, m)
-    need = F.ceil(F.lit(percent) * (F.col(n) + F.col(m)) / (100 + percent))
-    return (small * 100 >= large * percent) & (F.least(F.col(n) - F.col(i), F.col(m) - F.col(j)) >= need)
-
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        s = Shingler(width)
+        for b in small(batches):
+            yield pa.RecordBatch.from_arrays([*b.columns[:4], pa.array([s.of(t).tobytes() for t in texts_of(b)], pa.binary())], names=["id", "a", "part", "member", "shingles"])
 
-def _marks_fit(percent: int):
-    """Whether the sets of a and b may share enough: a bit of one mark that the other lacks is a shingle of the one only."""
-    lacking = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: F.bit_count(p.bitwiseAND(F.bitwise_not(q)))), F.lit(0), lambda t, c: t + c)
-    need = F.ceil(F.lit(percent) * (F.col("n") + F.col("m")) / (100 + percent))
-    return (F.col("n") - lacking("ma", "mb") >= need) & (F.col("m") - lacking("mb", "ma") >= need)
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        at, heads = None, []
+        for b in small(batches):
+            out = []
+            for i, a, part, member, shingles in zip(*(c.to_pylist() for c in b.columns), strict=True):
+                if (a, part) != at:
+                    at, heads = (a, part), []
+                own = np.frombuffer(shingles, np.uint64)
+                if not member:
+                    heads.append(own)
+                    continue
+                for h in heads:
+                    both = int((h[np.minimum(np.searchsorted(h, own), len(h) - 1)] == own).sum())
+                    if 100 * both >= percent * (len(h) + len(own) - both):
+                        out.append((min(a, i), max(a, i)))
+                        break
+            yield pa.RecordBatch.from_arrays([pa.array([x[k] for x in out], pa.int64()) for k in (0, 1)], names=["a", "b"])
+
+    texts = docs.where("text is not null").select(F.col("doc_id").cast("long").alias("id"), "text").join(F.broadcast(wanted) if few else wanted, "id").select("id", "a", "part", "member", "text")
+    made = texts.mapInArrow(sets, "id long, a long, part int, member int, shingles binary").where("length(shingles) > 0")
+    return tables.put(made.repartition("a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(meet, "a long, b long").distinct(), wanted)
+
+
+def _pairs_of(side: np.ndarray, run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs to compare, in portions, of rows sorted by run and side: all of side 0, and each of side 1 with each of side 2."""
+    if not len(run):
+        return
+    new = np.concatenate([[True], (run[1:] != run[:-1]) | (side[1:] != side[:-1])])
+    first = np.flatnonzero(new)
+    part = np.cumsum(new) - 1
+    end = np.append(first[1:], len(run))
+    row = np.arange(len(run))
+    # of a row of side 0 the later ones of its part; of one of side 1 the next part, if it is the run's side 2
+    nxt = np.minimum(part + 1, len(first) - 1)
+    has = (side == 1) & (part + 1 < len(first)) & (run[first[nxt]] == run) & (side[first[nxt]] == 2)
+    begin = np.where(side == 0, row + 1, first[nxt])
+    count = np.where(side == 0, end[part] - row - 1, np.where(has, end[nxt] - first[nxt], 0))
+    total = np.cumsum(count)
+    i = 0
+    while i < len(row):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
+        c = count[i:j]
+        p = np.repeat(row[i:j], c)
+        yield p, np.arange(len(p)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin[i:j], c)
+        i = j
+
+
+def _late_pairs(rest: DataFrame, tables: Tables, percent: int) -> DataFrame:
+    """Pairs (a < b) of rows of one list that may link and have different labels, not both the list's main one.
+
+    ``rest``: list, group, id, n, i, label, main, mark. Lists of more than BLOCK rows are cut into classes of sizes that can't link
+    beyond the next class, and those into blocks; no pair is a row before it has passed every test.
+    """
+    unit = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
+    rest = rest.withColumn("size", F.floor(F.log("n") / unit).cast("int"))
+    per = rest.groupBy("list", "size").agg(F.count("*").alias("rows"))
+    # a list has some hundred classes at most
+    blocks_of = F.map_from_entries(F.collect_list(F.struct("size", F.ceil(F.col("rows") / BLOCK).cast("int"))))
+    per = tables.put(per.groupBy("list").agg(F.sum("rows").alias("rows"), blocks_of.alias("blocks")))
+    large = F.col("rows") > BLOCK
+    lists = salted_join(rest, per, "list", "rows", rest.count(), F.xxhash64("id"))
+    size = F.col("size")
+    blocks = lambda k: F.coalesce(F.element_at("blocks", k), F.lit(0))
+    upto = lambda n: F.filter(F.sequence(F.lit(0), F.greatest(n - 1, F.lit(0))), lambda x: x < n)
+    cell = lambda low, lo, hi, side: F.struct(low.alias("low"), lo.alias("lo"), hi.alias("hi"), side.cast("int").alias("side"))
+    lists = lists.withColumn("own", F.pmod(F.xxhash64("id"), blocks(size)).cast("int"))
+    o = F.col("own")
+    within = F.transform(upto(blocks(size)), lambda x: cell(size * 2, F.least(o, x), F.greatest(o, x), F.when(o == x, 0).when(o < x, 1).otherwise(2)))
+    above = F.transform(upto(blocks(size + 1)), lambda x: cell(size * 2 + 1, o, x, F.lit(1)))
+    below = F.transform(upto(blocks(size - 1)), lambda x: cell(size * 2 - 1, x, o, F.lit(2)))
+    cells = F.when(large, F.concat(within, above, below)).otherwise(F.array(cell(F.lit(-2), F.lit(0), F.lit(0), F.lit(0))))
+    rows = lists.withColumn("c", F.explode(cells)).select(F.xxhash64("list", "c.low", "c.lo", "c.hi").alias("run"), F.col("c.side").alias("side"), "group", "id", "n", "i", "label", "main", "mark")
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, "run"):
+            c = {k: t.column(k).to_numpy().astype(np.int64) for k in ("run", "side", "group", "id", "n", "i", "label", "main")}
+            marks = t.column("mark").to_pylist()
+            for p, q in _pairs_of(c["side"], c["run"]):
+                n, m = c["n"][p], c["n"][q]
+                ok = (c["label"][p] != c["label"][q]) & ((c["label"][p] != c["main"][p]) | (c["label"][q] != c["main"][q]))
+                ok &= (c["group"][p] != c["group"][q]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)
+                ok &= np.minimum(n - c["i"][p], m - c["i"][q]) >= least_shared(n, m, percent)
+                p, q = p[ok], q[ok]
+                fit = marks_fit(c["n"], marks, p, q, percent)
+                a, b = c["id"][p[fit]], c["id"][q[fit]]
+                yield pa.RecordBatch.from_arrays([pa.array(np.minimum(a, b)), pa.array(np.maximum(a, b))], names=["a", "b"])
+
+    return rows.repartition("run").sortWithinPartitions("run", "side").mapInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
 def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) -> DataFrame:
@@ -169,54 +299,56 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     shingle, fit by size and by its places are candidates; groups are expanded and members verified on whole sets. Of
     candidates, those with the most central document of each shingle's list come first; once components are known, the
     remaining pairs are only those of different components, so a group of near copies isn't compared pair by pair. No
-    candidate that could join two components is left out: the result is exact (sets are of 64-bit hashes).
+    candidate that could join two components is left out: the result is exact (sets are of 64-bit hashes). Lists are compared in
+    blocks by sizes, places and marks of the sets, so a shingle of many unrelated documents makes no table of pairs.
     """
-    found = written(_prefixes(docs, width, percent))
+    tables = Tables(docs.sparkSession)
+    found = tables.put(_prefixes(docs, width, percent))
     usable = found.where("doc_id is not null and n > 0")
     # one document of each set, which its copies follow; a group is known by its smallest document
-    once = written(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("group_key").alias("group_key")))
-    sizes = once.groupBy("group_key").agg(F.min("id").alias("head"), F.count("*").cast("int").alias("members"))
-    members = written(once.join(sizes, "group_key").select("head", "id", "members"))
-    groups = usable.groupBy("group_key").agg(F.min("doc_id").alias("head"), F.first("n").cast("int").alias("n"), F.first("prefix").alias("prefix"))
-    groups = written(groups.join(members.select("head", "members").distinct(), "head").select("head", "members", "n", "prefix"))
-    places = groups.select("head", "members", "n", F.posexplode("prefix").alias("i", "shingle"))
-    # of the lists of two groups, which chance makes most of, those stay whose groups fit by size and place; of the others
-    # groups of several members stay, since members are compared with each other only where their group is in a list
-    often = places.groupBy("shingle").agg(F.sum("members").alias("listed"), F.count("*").alias("_g"), F.min(F.col("n") - F.col("i")).alias("_rest"), F.sum("n").alias("_n"))
-    often = often.withColumn("_fit", (F.col("_g") != 2) | (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent))))
-    often = often.where(((F.col("listed") > 1) & F.col("_fit")) | (F.col("listed") > 2)).select("shingle", "listed", "_fit")
-    lists = written(places.join(often, "shingle").where(F.col("_fit") | (F.col("members") > 1)).drop("_fit"))
+    once = tables.put(usable.groupBy("set_key").agg(F.min("doc_id").alias("id"), F.count("*").alias("copies"), F.first("n").alias("n"), F.first("group").alias("group"), F.first("mark").alias("mark")))
+    groups = usable.where("prefix is not null").groupBy("group").agg(F.min("doc_id").alias("head"), F.first("n").alias("n"), F.first("prefix").alias("prefix"))
+    groups = tables.put(groups)
+    single = once.where("mark is not null")
+    sizes = single.groupBy("group").agg(F.count("*").alias("members"), F.min("id").alias("head"))
+    rows = once.count()
+    members = tables.put(salted_join(single.select("group", "id", "n"), sizes, "group", "members", rows, F.xxhash64("id")))
+    marks = single.select("id", "n", "mark")
+    places = groups.select("head", "n", F.posexplode("prefix").alias("i", "shingle"))
+    # of the lists of two groups, which chance makes most of, those stay whose groups fit by size and place
+    often = places.groupBy("shingle").agg(F.count("*").alias("listed"), F.min(F.col("n") - F.col("i")).alias("_rest"), F.sum("n").alias("_n"))
+    often = often.where((F.col("listed") > 2) | ((F.col("listed") == 2) & (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent)))))
+    often = tables.put(often.select("shingle", "listed"))
+    total = groups.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
+    lists = tables.put(salted_join(places, often, "shingle", "listed", total, F.xxhash64("head")).where("listed is not null"), groups, often)
     central = lists.groupBy("head").agg(F.sum("listed").alias("central"))
-    ranked = lists.join(central, "head")
-    leaders = ranked.groupBy("shingle").agg(F.max(F.struct("central", "head", "n", "i")).alias("l")).select("shingle", F.col("l.head").alias("leader"), F.col("l.n").alias("m"), F.col("l.i").alias("j"))
-    near = lists.join(leaders, "shingle").where(_may_link("n", "m", "i", "j", percent)).select("leader", "head").distinct()
-    stars = near.join(members, "head").select(F.col("leader").alias("a"), F.col("id").alias("b")).unionAll(members.select(F.col("head").alias("a"), F.col("id").alias("b")))
-    stars = written(stars.where("a <> b").select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct())
-    edges = _verified(stars, docs, width, percent)
-    labels = written(connected_components(edges))
+    leaders = lists.join(central, "head").groupBy("shingle").agg(F.max(F.struct("central", "head", "n", "i")).alias("l"), F.count("*").alias("listed"))
+    leaders = tables.put(leaders.select("shingle", "listed", F.col("l.head").alias("leader"), F.col("l.n").alias("m"), F.col("l.i").alias("j")))
+    near = salted_join(lists.drop("listed"), leaders, "shingle", "listed", lists.count(), F.xxhash64("head")).where(_may_link("n", "m", "i", "j", percent)).select("leader", "head").distinct()
+    stars = near.join(members, "head").select(F.col("leader").alias("a"), F.col("id").alias("b")).unionAll(members.select(F.col("head").alias("a"), F.col("id").alias("b"))).where("a <> b").distinct()
+    checked = tables.put(_open_pairs(stars, marks, percent), leaders)
+    edges = _verified(checked, docs, tables, width, percent)
+    labels = tables.put(connected_components(edges), edges)
     # lists that still hold several components; the pairs of a list's most frequent component needn't be looked at
-    placed = written(lists.drop("members").join(members, "head").join(labels, "id", "left").select("shingle", "id", "n", "i", F.coalesce("component", "id").alias("label")))
-    per_label = placed.groupBy("shingle", "label").agg(F.count("*").alias("rows"))
-    main = per_label.groupBy("shingle").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("labels")).where("labels > 1").select("shingle", F.col("x.label").alias("main"))
-    rest = written(placed.join(main, "shingle"))
-    marks = written(_sets(docs, written(rest.select("id").distinct()), width, marks=True))
-    rest = written(rest.join(marks, "id"))
-    one = rest.where("label <> main").select("shingle", F.col("id").alias("a"), "n", "i", F.col("label").alias("la"), F.col("marks").alias("ma"))
-    two = rest.select("shingle", F.col("id").alias("b"), F.col("n").alias("m"), F.col("i").alias("j"), F.col("label").alias("lb"), F.col("marks").alias("mb"))
-    more = one.join(two, "shingle").where((F.col("la") != F.col("lb")) & _may_link("n", "m", "i", "j", percent) & _marks_fit(percent))
-    more = more.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")).distinct()
-    late = _verified(written(more.join(stars, ["a", "b"], "left_anti")), docs, width, percent)
+    own = members.where("members > 1").select(F.xxhash64("group", F.lit(1)).alias("list"), F.col("id").alias("group"), "id", "n", F.lit(0).alias("i"))
+    placed = lists.select("shingle", "head", "i").join(members, "head").select(F.col("shingle").alias("list"), F.col("head").alias("group"), "id", "n", "i").unionAll(own)
+    placed = tables.put(placed.join(labels, "id", "left").select("list", "group", "id", "n", "i", F.coalesce("component", "id").alias("label")), lists, members)
+    per_label = placed.groupBy("list", "label").agg(F.count("*").alias("rows"))
+    main = per_label.groupBy("list").agg(F.max(F.struct("rows", "label")).alias("x"), F.count("*").alias("labels")).where("labels > 1").select("list", F.col("x.label").alias("main"))
+    rest = tables.put(placed.join(main, "list").join(marks.drop("n"), "id"), placed)
+    more = _late_pairs(rest, tables, percent).join(checked.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b")), ["a", "b"], "left_anti")
+    late = _verified(tables.put(more, rest), docs, tables, width, percent)
     if not late.isEmpty():
         # only the components that these links join take part in another search
         of = lambda c: labels.select(F.col("id").alias(c), F.col("component").alias(f"_{c}"))
         between = late.join(of("a"), "a", "left").join(of("b"), "b", "left").select(F.coalesce("_a", "a").alias("a"), F.coalesce("_b", "b").alias("b"))
-        joined = written(connected_components(between)).withColumnRenamed("component", "root")
+        joined = tables.put(connected_components(between)).withColumnRenamed("component", "root")
         known_ids = labels.join(joined.withColumnRenamed("id", "component"), "component", "left").select("id", F.coalesce("root", "component").alias("component"))
         labels = known_ids.unionAll(joined.join(labels, "id", "left_anti").select("id", F.col("root").alias("component")))
-    known = written(once.join(labels, "id", "left").select("set_key", "copies", F.coalesce("component", "id").alias("component_id")))
+    known = tables.put(once.join(labels, "id", "left").select("set_key", "copies", F.coalesce("component", "id").alias("component_id")), once)
     total = known.agg(F.coalesce(F.sum("copies"), F.lit(0))).first()[0]
     key = F.when(F.col("doc_id").isNotNull() & F.col("set_key").isNotNull(), F.col("set_key")).otherwise(F.concat(F.lit("none:"), F.monotonically_increasing_id().cast("string")).cast("binary"))
-    out = salted_join(found.select("doc_id", F.col("n").alias("n_shingles"), key.alias("set_key")), known, "set_key", "copies", total, F.xxhash64("doc_id"))
+    out = salted_join(found.select("doc_id", F.col("n").cast("long").alias("n_shingles"), key.alias("set_key")), known, "set_key", "copies", total, F.xxhash64("doc_id"))
     return out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
 
 

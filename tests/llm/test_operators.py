@@ -9,6 +9,7 @@ from collections import defaultdict
 import numpy as np
 import pytest
 import xxhash
+from tokenizers import Tokenizer
 
 from quirekit.llm import context_tree as ct
 from quirekit.llm import order_minhash as om
@@ -21,6 +22,7 @@ from quirekit.llm import skip_chain_pii as sc
 from quirekit.llm import slot_table as sl
 from quirekit.llm import source_mix as sm
 from quirekit.llm import url_reputation as ur
+from quirekit.llm.common import Tables
 from tests.oracle import both
 
 LONG = " ".join(f"w{i % 997}" for i in range(30_000))
@@ -151,12 +153,12 @@ def test_pii_query(docs, none):
 
 
 def test_pieces(docs, none):
-    enc = pk.Encoder(*pk.default_tokenizer())
+    plain = Tokenizer.from_file(pk.default_tokenizer()[0])
     rows = defaultdict(list)
     for r in pk.pack(docs, *pk.default_tokenizer()).collect():
         rows[r.doc_id].append(r)
     for i, text in TEXTS:
-        ids = [*enc.slow.encode(text or "", add_special_tokens=False).ids, 1]
+        ids = [*plain.encode(text or "", add_special_tokens=False).ids, 1]
         mine = sorted(rows[i], key=lambda r: r.sequence_id)
         whole = b"".join(r.ids for r in mine)
         assert np.array(ids, "<u4").tobytes() in whole
@@ -167,9 +169,9 @@ def test_pieces(docs, none):
 
 
 def test_ids_equal_the_other_library():
-    enc = pk.Encoder(*pk.default_tokenizer())
-    for t in ("", "  a  b \n\n c\t", "it's don't  x\u00a0\n y", "a\x0b\x0c b\x1c c", "x" * 1500 + " y", "\n" * 1200, "<|endoftext|> a", "é'll ß\r\n\r\n x \u3000\u3000z"):
-        assert enc.encode(t).tolist() == enc.slow.encode(t, add_special_tokens=False).ids
+    enc, plain = pk.Encoder(*pk.default_tokenizer()), Tokenizer.from_file(pk.default_tokenizer()[0])
+    for t in ("", "  a  b \n\n c\t", "it's don't  x\u00a0\n y", "a\x0b\x0c b\x1c c", "x" * 1500 + " y", "\n" * 1200, "<|endoftext|> a", "b<|endoftext|><|endoftext|>\n", "<|endoftext|" + "y" * 1200 + "<|endoftext|>", "é'll ß\r\n\r\n x \u3000\u3000z"):
+        assert enc.encode(t).tolist() == plain.encode(t, add_special_tokens=False).ids
 
 
 def test_buckets_on_disk(docs, tmp_path, spark):
@@ -440,8 +442,9 @@ def test_targets_stop_at_the_cap(spark):
 # 9: Jaccard join
 
 
-@pytest.mark.parametrize(("width", "percent"), [(3, 90), (5, 80)])
-def test_components_equal_brute_force(spark, docs, none, width, percent):
+@pytest.mark.parametrize(("width", "percent", "block"), [(3, 90, 512), (5, 80, 512), (3, 90, 3), (2, 60, 4)])
+def test_components_equal_brute_force(spark, docs, none, monkeypatch, width, percent, block):
+    monkeypatch.setattr(pj, "BLOCK", block)
     rng = np.random.default_rng(9)
     rows = list(TEXTS)
     for g in range(4):
@@ -487,10 +490,34 @@ def test_members_link_though_their_lists_hold_a_misfit(spark):
 def test_far_ids_are_shuffled_alike(spark, docs, monkeypatch):
     key = lambda: sorted((str(r.doc_id), r.component_id) for r in pj.jaccard_components(docs, width=5, percent=80).collect())
     want = key()
-    monkeypatch.setattr(pj, "BROADCAST_IDS", 0)
+    monkeypatch.setattr(pj, "BROADCAST_ROWS", 0)
     assert key() == want
 
 
+def test_marks_bound_the_difference():
+    rng = np.random.default_rng(2)
+    for n in (1, 5, 300, 5000):
+        a = np.unique(rng.integers(0, 2**63, n).astype(np.uint64))
+        b = np.unique(np.concatenate([a[: len(a) // 2], rng.integers(0, 2**63, n).astype(np.uint64)]))
+        marks = [pj.mark_of(a), pj.mark_of(b)]
+        z = min(map(len, marks))
+        m = pj.mark_matrix(marks, z)
+        assert np.bitwise_count(m[0] ^ m[1]).sum() <= len(np.setxor1d(a, b))
+        sizes, one = np.array([len(a), len(b)]), np.array([0])
+        assert pj.marks_fit(sizes, marks, one, one, 90).all() and not (n > 5 and pj.marks_fit(sizes, marks, one, 1 - one, 90).any())
+
+
+def test_a_shingle_of_thousands_of_unrelated_documents_makes_no_pairs(spark):
+    rng = np.random.default_rng(6)
+    sets = [np.unique(rng.integers(0, 2**63, int(n)).astype(np.uint64)) for n in rng.integers(20, 400, 5000)]
+    for k in range(0, 60, 2):  # pairs alike, which must be found
+        sets[k + 1] = np.unique(np.append(sets[k], np.uint64(k)))
+    rows = [(7, i, i, len(s), 0, i, 0, pj.mark_of(s)) for i, s in enumerate(sets)]
+    rest = spark.createDataFrame(rows, "list long, group long, id long, n int, i int, label long, main long, mark binary").repartition(4)
+    got = {(r.a, r.b) for r in pj._late_pairs(rest, Tables(spark), 90).collect()}
+    assert got == {(k, k + 1) for k in range(0, 60, 2)}
+
+
 # 10: sharding
 
 
