@@ -9,8 +9,12 @@ from pyspark.sql import functions as F
 
 from quirekit.llm.common import ascii_lower, salted_join, written
 
-#: Suffixes of two labels under which registrations are made (fixed values).
-TWO_LABEL_SUFFIXES = ("ac.uk", "co.in", "co.jp", "co.nz", "co.uk", "co.za", "com.au", "com.br", "org.uk")
+#: Labels that, before a country's two letters, belong to the suffix under which registrations are made (fixed values).
+SECOND_LABELS = ("ac", "co", "com", "edu", "gen", "go", "gob", "gouv", "gov", "gv", "id", "ind", "info", "ltd", "me", "mil", "ne", "net", "nom", "or", "org", "plc", "sch", "web")
+#: Two such labels at the end of a host, and hosts that are addresses: each of those is its own domain, of the suffix "ip".
+TWO_LABELS = rf"(?:^|\.)((?:{'|'.join(SECOND_LABELS)})\.[a-z][a-z])$"
+ADDRESS = r"^(?:[0-9]+(?:\.[0-9]+){3}|\[.*)$"
+BARE = r"^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)"
 
 
 @dataclass(frozen=True)
@@ -44,10 +48,11 @@ def matching_rule(rules: tuple[Rule, ...]) -> Column:
 
 def with_domains(df: DataFrame) -> DataFrame:
     """Adds ``suffix`` and ``domain`` (suffix and one label more) of ``host``, without user and port."""
-    bare = F.regexp_extract("host", "^(?:[^@]*@)?([^:]*)", 1)
-    two = F.substring_index(bare, ".", -2)
-    known = two.isin(*TWO_LABEL_SUFFIXES)
-    return df.withColumn("suffix", F.when(known, two).otherwise(F.substring_index(bare, ".", -1))).withColumn("domain", F.when(known, F.substring_index(bare, ".", -3)).otherwise(two))
+    bare = F.regexp_extract("host", BARE, 1)
+    own, two = bare.rlike(ADDRESS), F.regexp_extract(bare, TWO_LABELS, 1)
+    suffix = F.when(own, "ip").when(two != "", two).otherwise(F.substring_index(bare, ".", -1))
+    domain = F.when(own, bare).when(two != "", F.substring_index(bare, ".", -3)).otherwise(F.substring_index(bare, ".", -2))
+    return df.withColumn("suffix", suffix).withColumn("domain", domain)
 
 
 def _strength(groups: DataFrame, prior: Column, least: float, most: float) -> float:
@@ -63,7 +68,7 @@ def host_reputation(outcomes: DataFrame, least: float = 1.0, most: float = 9999.
     """Posterior of the bad rate of each host from labelled outcomes.
 
     ``outcomes``: host, rows (pages of the host), n (labelled ones), bad (bad ones), one row per host. Returns it with
-    alpha and beta of the host's Beta posterior. The rate of all pages is the prior mean of a suffix, the shrunk
+    alpha and beta of the host's Beta posterior and ``usual``, the shrunk rate of its suffix. The rate of all pages is the prior mean of a suffix, the shrunk
     rate of a suffix that of its domains, and the shrunk rate of a domain that of its hosts; each level's strength
     is estimated by moments, within [least, most]. Without any labelled page all rates are 1/2.
     """
@@ -74,20 +79,21 @@ def host_reputation(outcomes: DataFrame, least: float = 1.0, most: float = 9999.
     mean = (all_.bad + 0.5) / (all_.n + 1.0)
     k = _strength(suffixes, F.lit(mean), least, most)
     suffixes = suffixes.select("suffix", "domains", ((F.col("bad") + k * mean) / (F.col("n") + k)).alias("m"))
-    domains = written(salted_join(domains, suffixes, "suffix", "domains", all_.domains, F.xxhash64("domain")))
+    domains = written(salted_join(domains, suffixes, "suffix", "domains", all_.domains, F.xxhash64("domain")).withColumn("usual", F.col("m")))
     k = _strength(domains, F.col("m"), least, most)
-    domains = domains.select("domain", F.col("hosts"), ((F.col("bad") + k * F.col("m")) / (F.col("n") + k)).alias("m"))
+    domains = domains.select("domain", "hosts", "usual", ((F.col("bad") + k * F.col("m")) / (F.col("n") + k)).alias("m"))
     hosts = written(salted_join(hosts, domains, "domain", "hosts", all_.hosts, F.xxhash64("host")))
     k = _strength(hosts, F.col("m"), least, most)
-    return hosts.select("host", "rows", "n", "bad", (F.col("bad") + k * F.col("m")).alias("alpha"), (F.col("n") - F.col("bad") + k * (1 - F.col("m"))).alias("beta"))
+    return hosts.select("host", "rows", "n", "bad", "usual", (F.col("bad") + k * F.col("m")).alias("alpha"), (F.col("n") - F.col("bad") + k * (1 - F.col("m"))).alias("beta"))
 
 
-def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = (), *, z: float = 1.0, most_bad: float = 0.4) -> DataFrame:
+def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] = (), *, z: float = 1.0, most_bad: float | None = None) -> DataFrame:
     """Every page with host, path, rule and verdict.
 
     ``pages``: page_id, url. ``outcomes``: page_id, bad (boolean, null for unknown); any of several bad rows of a page
     counts. A page whose url fits a rule gets the verdict of the longest one; any other is blocked if
-    the lower posterior bound of its host's bad rate, mean - z * deviation, is over ``most_bad``.
+    the lower posterior bound of its host's bad rate, mean - z * deviation, is over the usual rate of the host's suffix, so
+    that more than chance speaks against the host, or over ``most_bad`` if that is given.
     Null urls and urls without ``://`` have an empty host and path; they share the reputation of the empty host.
     Repeated pages are judged one by one; outcomes of unknown pages, and null ids, don't count; further columns of
     either table are ignored. Empty tables give an empty result.
@@ -99,11 +105,12 @@ def judge_urls(pages: DataFrame, outcomes: DataFrame, rules: tuple[Rule, ...] =
     hosts = counts.join(labelled, "host", "left").select("host", "rows", F.coalesce("n", F.lit(0)).alias("n"), F.coalesce("bad", F.lit(0)).alias("bad"))
     a, b = F.col("alpha"), F.col("beta")
     rate = a / (a + b)
-    known_hosts = host_reputation(hosts).select("host", "rows", F.col("n").alias("host_labelled"), F.col("bad").alias("host_bad"), (rate - z * F.sqrt(rate * (1 - rate) / (a + b + 1))).alias("host_bound"))
+    known_hosts = host_reputation(hosts).select("host", "rows", "usual", F.col("n").alias("host_labelled"), F.col("bad").alias("host_bad"), (rate - z * F.sqrt(rate * (1 - rate) / (a + b + 1))).alias("host_bound"))
     judged = written(known_hosts)
     total = judged.agg(F.coalesce(F.sum("rows"), F.lit(0))).first()[0]
     out = salted_join(named, judged, "host", "rows", total, F.xxhash64("page_id", "path")).withColumn("_r", matching_rule(rules))
-    allow = F.coalesce(F.col("_r.allow"), F.col("host_bound") <= most_bad)
+    bar = F.col("usual") if most_bad is None else F.lit(most_bad)
+    allow = F.coalesce(F.col("_r.allow"), F.col("host_bound") <= bar)
     return out.select("page_id", "host", "path", F.col("_r.rule").alias("rule"), F.when(allow, "allow").otherwise("block").alias("verdict"), "host_labelled", "host_bad")
 
 
@@ -128,26 +135,27 @@ WITH parts AS (
   WHERE (quality = 0 OR toxic = 1) IS NOT NULL GROUP BY 1
 ), hosts0 AS (
   SELECT host, count(k.page_id) AS n, coalesce(sum(k.bad), 0) AS bad FROM named LEFT JOIN known k USING (page_id) GROUP BY 1
-), bare AS (SELECT *, regexp_extract(host, '^(?:[^@]*@)?([^:]*)', 1) AS b FROM hosts0
+), bare AS (SELECT *, regexp_extract(host, '^(?:[^@]*@)?(\[[^\]]*\]|[^:]*)', 1) AS b FROM hosts0
 ), tails AS (
-  SELECT host, n, bad, b, string_split(b, '.') AS s FROM bare
+  SELECT host, n, bad, b, string_split(b, '.') AS s, regexp_matches(b, '^([0-9]+(\.[0-9]+){3}|\[.*)$') AS own FROM bare
 ), tails2 AS (
-  SELECT host, n, bad, array_to_string(s[-2:], '.') AS two, array_to_string(s[-3:], '.') AS three, s[-1] AS one FROM tails
+  SELECT host, n, bad, b, own, s, length(s) > 1 AND s[-2] IN (@SECOND@) AND regexp_full_match(s[-1], '[a-z][a-z]') AS long FROM tails
 ), hosts AS (
-  SELECT host, n, bad, CASE WHEN two IN (@SUFFIXES@) THEN two ELSE one END AS suffix, CASE WHEN two IN (@SUFFIXES@) THEN three ELSE two END AS domain FROM tails2
+  SELECT host, n, bad, CASE WHEN own THEN 'ip' WHEN long THEN array_to_string(s[-2:], '.') ELSE s[-1] END AS suffix,
+         CASE WHEN own THEN b WHEN long THEN array_to_string(s[-3:], '.') ELSE array_to_string(s[-2:], '.') END AS domain FROM tails2
 ), domains AS (SELECT domain, suffix, sum(n) AS n, sum(bad) AS bad FROM hosts GROUP BY 1, 2
 ), suffixes AS (SELECT suffix, sum(n) AS n, sum(bad) AS bad FROM domains GROUP BY 1
 ), g AS (SELECT (sum(bad) + 0.5::DOUBLE) / (sum(n) + 1.0::DOUBLE) AS m FROM suffixes
 ), s1 AS (SELECT suffix, n::DOUBLE AS n, bad::DOUBLE AS bad, m FROM suffixes, g
 ), k1 AS (SELECT 1 / least(greatest(coalesce((sum((bad - n * m) ** 2) - sum(n * m * (1 - m))) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0), 1 / 10000.0::DOUBLE), 0.5::DOUBLE) - 1 AS k FROM s1
 ), s2 AS (SELECT suffix, (bad + k * m) / (n + k) AS m FROM s1, k1
-), d1 AS (SELECT domain, d.n::DOUBLE AS n, d.bad::DOUBLE AS bad, m FROM domains d JOIN s2 USING (suffix)
+), d1 AS (SELECT domain, d.n::DOUBLE AS n, d.bad::DOUBLE AS bad, m, m AS usual FROM domains d JOIN s2 USING (suffix)
 ), k2 AS (SELECT 1 / least(greatest(coalesce((sum((bad - n * m) ** 2) - sum(n * m * (1 - m))) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0), 1 / 10000.0::DOUBLE), 0.5::DOUBLE) - 1 AS k FROM d1
-), d2 AS (SELECT domain, (bad + k * m) / (n + k) AS m FROM d1, k2
-), h1 AS (SELECT host, h.n::DOUBLE AS n, h.bad::DOUBLE AS bad, m FROM hosts h JOIN d2 USING (domain)
+), d2 AS (SELECT domain, (bad + k * m) / (n + k) AS m, usual FROM d1, k2
+), h1 AS (SELECT host, h.n::DOUBLE AS n, h.bad::DOUBLE AS bad, m, usual FROM hosts h JOIN d2 USING (domain)
 ), k3 AS (SELECT 1 / least(greatest(coalesce((sum((bad - n * m) ** 2) - sum(n * m * (1 - m))) / nullif(sum(n * (n - 1) * m * (1 - m)), 0), 0), 1 / 10000.0::DOUBLE), 0.5::DOUBLE) - 1 AS k FROM h1
-), h2 AS (SELECT host, n, bad, bad + k * m AS a, n - bad + k * (1 - m) AS b FROM h1, k3
-), h3 AS (SELECT host, n, bad, a / (a + b) AS r, a + b + 1 AS t FROM h2
+), h2 AS (SELECT host, n, bad, usual, bad + k * m AS a, n - bad + k * (1 - m) AS b FROM h1, k3
+), h3 AS (SELECT host, n, bad, usual, a / (a + b) AS r, a + b + 1 AS t FROM h2
 ), ruled AS (
   SELECT page_id, host, path, CASE
     WHEN (host = 'www.example.com' OR host LIKE '%.www.example.com') AND starts_with(path, '/en/') THEN 'www.example.com/en/'
@@ -158,7 +166,7 @@ WITH parts AS (
 )
 SELECT page_id, host, path, rule, CASE
     WHEN rule IN ('com/', 'www.example.com/en/') THEN 'allow' WHEN rule IS NOT NULL THEN 'block'
-    WHEN r - sqrt(r * (1 - r) / t) <= 0.4 THEN 'allow' ELSE 'block' END AS verdict,
+    WHEN r - sqrt(r * (1 - r) / t) <= usual THEN 'allow' ELSE 'block' END AS verdict,
   n::BIGINT AS host_labelled, bad::BIGINT AS host_bad
 FROM ruled JOIN h3 USING (host)
-""".replace("@SUFFIXES@", ", ".join(f"'{x}'" for x in TWO_LABEL_SUFFIXES))
+""".replace("@SECOND@", ", ".join(f"'{x}'" for x in SECOND_LABELS))
