@@ -5,15 +5,15 @@ from __future__ import annotations
 import hashlib
 import re
 from collections.abc import Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, replace
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirekit.llm.common import texts_of
+from quirekit.llm.common import small, texts_of
 
 KINDS = ("email", "ip", "card", "phone")
 #: Labels of the field: other, then the kinds.
@@ -28,14 +28,18 @@ DIGIT = re.compile(r"[0-9]")
 #: Tokens that could hold personal data: runs without white space that hold a digit or @, without outer marks.
 TOKEN = re.compile(r"(?<!\S)[^\s0-9@]*+[0-9@]\S*")
 OUTER = " \t\n\r\f\v,;:!?\"'<>[]{}|"
-#: Documents that weights are fitted on at most.
-SAMPLE_ROWS = 2000
-#: Tokens of one document that fitting looks at.
-SAMPLE_TOKENS = 500
+#: Documents that weights are fitted on at most, always whole ones, and their tokens; one of over a twentieth of these isn't sampled.
+SAMPLE_ROWS, SAMPLE_TOKENS = 2000, 200_000
+#: One in so many sampled documents is held out to choose the threshold; the share of its tags there that must be right.
+HELD_OUT, PRECISION = 4, 0.98
+#: Thresholds to choose from.
+THRESHOLDS = (0.7, 0.75, 0.8, 0.85, 0.9, 0.95, 0.98)
+#: Texts whose fields are worked out together.
+TOGETHER = 500
 #: Largest change of a message that counts as settled.
 SETTLED = 1e-6
-#: Prior mean of the skip potential of two equal labels, and the rows of data that it is worth: repeated tokens are rare.
-SKIP_PRIOR, SKIP_WORTH = 2.0, 20.0
+#: Prior mean of the skip potential of two equal labels, and the rows of data that it is worth.
+SKIP_PRIOR, SKIP_WORTH = 2.0, 2.0
 
 
 def luhn(digits: str) -> bool:
@@ -81,14 +85,23 @@ class Document:
     features: np.ndarray
     labels: np.ndarray
     skips: np.ndarray
+    starts: np.ndarray | None = None
 
 
-FEATURES = 24
+def together(docs: list[Document]) -> Document:
+    """Several documents as one, without links between them; ``starts``: the first tokens."""
+    at = np.cumsum([0] + [len(d.spans) for d in docs])
+    skips = [d.skips + i for d, i in zip(docs, at)]
+    return Document([x for d in docs for x in d.spans], np.concatenate([d.features for d in docs]), np.concatenate([d.labels for d in docs]), np.concatenate(skips), at[:-1])
+
+
+FEATURES = 28
 
 
 def _features(token: str, before: str, gap: int) -> np.ndarray:
     f = np.zeros(FEATURES, np.float32)
-    digits = sum(c.isdigit() for c in token)
+    number = "".join(DIGIT.findall(token))
+    digits = len(number)
     f[0] = 1
     f[1 + min(digits, 10)] = 1
     f[12] = "@" in token
@@ -103,15 +116,31 @@ def _features(token: str, before: str, gap: int) -> np.ndarray:
     f[21] = 13 <= digits <= 19
     f[22] = "=" in token or '"' in token
     f[23] = digits > 19
+    f[24] = 13 <= digits <= 19 and luhn(number)
+    f[25] = token.count(".") == 3 and all(p.isdecimal() and len(p) <= 3 and int(p) <= 255 for p in token.split("."))
+    f[26] = "@" in token[1:] and "." in token.rpartition("@")[2][1:-1]
+    f[27] = before.endswith(")")
     return f
 
 
+def alike_keys(token: str) -> list[str]:
+    """Tokens that share a key are joined: equal but for case, of equal digits (seven or more), or of as many digits (eight or
+    more) with an equal first or last half, as a number and a slip of it have."""
+    number = "".join(DIGIT.findall(token))
+    keys = [token.lower()]
+    if len(number) >= 7:
+        keys.append(number)
+    if 8 <= len(number) <= 19:
+        half = len(number) // 2
+        keys += [f"{len(number)}<{number[:half]}", f"{len(number)}>{number[half:]}"]
+    return list(dict.fromkeys(keys))
+
+
 def document(text: str, base: list[list[tuple[int, int]]]) -> Document:
-    """Tokens that could hold personal data; skip links join each to the one before it that is equal or has the same digits."""
-    marks = sorted((s, e, k + 1) for k, spans in enumerate(base) for s, e in spans)
+    """Tokens that could hold personal data; skip links join each to the last one before it that shares one of ``alike_keys``."""
     spans, feats, labels, links = [], [], [], []
     last: dict[str, int] = {}
-    j, before, end = 0, "", -9
+    at, before, end = [0] * len(base), "", -9
     for m in TOKEN.finditer(text):
         raw = m[0]
         token = raw.strip(OUTER).rstrip(".")
@@ -119,15 +148,17 @@ def document(text: str, base: list[list[tuple[int, int]]]) -> Document:
             continue
         s = m.start() + raw.index(token)
         e = s + len(token)
-        while j < len(marks) and marks[j][1] <= s:
-            j += 1
-        label = next((k for a, b, k in marks[j : j + 4] if a < e and b > s), 0)
+        label, first = 0, None
+        for k, marks in enumerate(base):  # of each kind the first span that ends after the token's start
+            while at[k] < len(marks) and marks[at[k]][1] <= s:
+                at[k] += 1
+            if at[k] < len(marks) and marks[at[k]][0] < e and (first is None or marks[at[k]] < first):
+                label, first = k + 1, marks[at[k]]
         i = len(spans)
         spans.append((s, e))
         feats.append(_features(token, before, s - end))
         labels.append(label)
-        number = "".join(c for c in token if c.isdigit())
-        for key in {token.lower(), number if len(number) >= 7 else token.lower()}:
+        for key in alike_keys(token):
             if key in last:
                 links.append((last[key], i))
             last[key] = i
@@ -137,16 +168,19 @@ def document(text: str, base: list[list[tuple[int, int]]]) -> Document:
 
 @dataclass(frozen=True)
 class Field:
-    """Weights: unary (features x labels), chain and skip (labels x labels, symmetric for skip)."""
+    """Weights: unary (features x labels), chain and skip (labels x labels, symmetric for skip); ``least``: the threshold."""
 
     unary: np.ndarray
     chain: np.ndarray
     skip: np.ndarray
+    least: float = 0.9
 
 
 def _edges(d: Document) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     n = len(d.spans)
     chain = np.stack([np.arange(n - 1), np.arange(1, n)], 1) if n > 1 else np.zeros((0, 2), np.int64)
+    if d.starts is not None:  # no chain from one text to the next
+        chain = chain[~np.isin(chain[:, 1], d.starts)]
     e = np.concatenate([chain, d.skips])
     return e[:, 0], e[:, 1], np.arange(len(e)) >= len(chain)
 
@@ -228,51 +262,80 @@ def marginals(d: Document, field: Field, rounds: int | None = None) -> np.ndarra
     return np.exp(belief)
 
 
-def tag(text: str, field: Field, least: float) -> tuple[list[list[tuple[int, int]]], list[list[tuple[int, int]]]]:
-    """Spans of each kind by pattern, and those that the field adds."""
-    base = base_spans(text)
-    added: list[list[tuple[int, int]]] = [[] for _ in KINDS]
-    if any(base):  # without evidence in the document there is no entity whose label could spread
-        d = document(text, base)
-        if len(d.skips):
-            p = marginals(d, field)
-            linked = np.zeros(len(d.spans), bool)
-            linked[d.skips.ravel()] = True
-            for i in np.flatnonzero(linked & (d.labels == 0) & (p[:, 1:].max(1) >= least)):
-                added[int(p[i, 1:].argmax())].append(d.spans[i])
-    return base, added
+def tag(texts: list[str], field: Field) -> list[tuple[list[list[tuple[int, int]]], list[list[tuple[int, int]]]]]:
+    """For each text, spans of each kind by pattern, and those that the field adds: tokens that no pattern took and whose
+    probability of a kind reaches the threshold; neighbours of one kind, a space apart, are one span."""
+    base = [base_spans(t) for t in texts]
+    docs = [document(t, b) for t, b in zip(texts, base, strict=True)]
+    out = [(b, [[] for _ in KINDS]) for b in base]
+    open_ = [i for i, d in enumerate(docs) if (d.labels == 0).any()]
+    if not open_:
+        return out
+    whole = together([docs[i] for i in open_])
+    p = marginals(whole, field)
+    kind = np.where((whole.labels == 0) & (p[:, 1:].max(1) >= field.least), p[:, 1:].argmax(1), -1)
+    at = 0
+    for i in open_:
+        last, until = -1, -9
+        for (s, e), k in zip(docs[i].spans, kind[at : at + len(docs[i].spans)].tolist(), strict=True):
+            if k >= 0:
+                mine = out[i][1][k]
+                if k == last and s - until == 1:
+                    mine[-1] = (mine[-1][0], e)
+                else:
+                    mine.append((s, e))
+            last, until = k, e
+        at += len(docs[i].spans)
+    return out
 
 
-def train(docs: DataFrame, *, most: int = SAMPLE_ROWS) -> Field:
-    """Weights from the patterns' labels on the ``most`` documents of smallest hash among those that hold a digit or @."""
+def threshold(docs: list[Document], field: Field, precision: float = PRECISION) -> float:
+    """The lowest of THRESHOLDS from which on tags agree with the patterns' labels, hidden from the field, to ``precision``."""
+    docs = [d for d in docs if len(d.spans)]
+    if not docs:
+        return THRESHOLDS[-1]
+    whole = together(docs)
+    truth, whole.labels = whole.labels, np.zeros_like(whole.labels)
+    p = marginals(whole, field)
+    best, sure = p[:, 1:].argmax(1) + 1, p[:, 1:].max(1)
+    least = THRESHOLDS[-1]
+    for t in reversed(THRESHOLDS):
+        said = sure >= t
+        if not said.any() or (best[said] == truth[said]).mean() < precision:
+            break
+        least = t
+    return least
+
+
+def train(docs: DataFrame, *, most: int = SAMPLE_ROWS, most_tokens: int = SAMPLE_TOKENS) -> Field:
+    """Weights and threshold from the patterns' labels on the ``most`` documents of smallest hash among those that hold a digit or
+    @, whole ones, as far as they have ``most_tokens`` tokens together; one in HELD_OUT of them chooses the threshold."""
 
     def prepare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            f, y, k, n = [], [], [], []
-            for t in texts_of(b):
-                d = document(t, base_spans(t))
-                m = min(len(d.spans), SAMPLE_TOKENS)
-                f.append(d.features[:m].tobytes())
-                y.append(d.labels[:m].tobytes())
-                k.append(d.skips[(d.skips < m).all(1)].tobytes())
-                n.append(m)
-            yield pa.RecordBatch.from_arrays([b.column(0), *(pa.array(v, pa.binary()) for v in (f, y, k)), pa.array(n, pa.int32())], names=["h", "f", "y", "k", "n"])
+        for b in small(batches, TOGETHER):
+            got = [document(t, base_spans(t)) for t in texts_of(b)]
+            got = [d if len(d.spans) <= most_tokens // 20 else document("", []) for d in got]
+            columns = [pa.array([x.tobytes() for x in v], pa.binary()) for v in zip(*((d.features, d.labels, d.skips) for d in got), strict=True)] or [pa.array([], pa.binary())] * 3
+            yield pa.RecordBatch.from_arrays([b.column(0), *columns, pa.array([len(d.spans) for d in got], pa.int32())], names=["h", "f", "y", "k", "n"])
 
     key = F.xxhash64(F.lit(3), "text")
     chosen = docs.where(F.col("text").rlike("[0-9@]")).select(key.alias("h")).distinct().orderBy("h").limit(most)
     sample = docs.select(key.alias("h"), "text").join(F.broadcast(chosen), "h").mapInArrow(prepare, "h long, f binary, y binary, k binary, n int")
-    got = sample.groupBy("h").agg(*(F.first(c).alias(c) for c in ("f", "y", "k", "n"))).toPandas().sort_values("h")
-    return fit([Document([(0, 0)] * r.n, np.frombuffer(r.f, np.float32).reshape(-1, FEATURES), np.frombuffer(r.y, np.int64), np.frombuffer(r.k, np.int64).reshape(-1, 2)) for r in got.itertuples()])
+    once = sample.where("n > 0").groupBy("h").agg(*(F.first(c).alias(c) for c in ("f", "y", "k", "n")))  # ``most`` rows at most
+    got = once.withColumn("_upto", F.sum("n").over(Window.orderBy("h"))).where(F.col("_upto") <= most_tokens).toPandas().sort_values("h")
+    rows = [Document([(0, 0)] * r.n, np.frombuffer(r.f, np.float32).reshape(-1, FEATURES), np.frombuffer(r.y, np.int64), np.frombuffer(r.k, np.int64).reshape(-1, 2)) for r in got.itertuples()]
+    fitted = fit([d for i, d in enumerate(rows) if i % HELD_OUT])
+    return replace(fitted, least=threshold(rows[::HELD_OUT], fitted))
 
 
 SPANS = T.ArrayType(T.StructType().add("kind", "string").add("start", "long").add("end", "long").add("base", "boolean"))
 
 
-def find_personal_data(docs: DataFrame, field: Field, *, least: float = 0.9) -> DataFrame:
+def find_personal_data(docs: DataFrame, field: Field) -> DataFrame:
     """Adds ``spans`` to ``docs``: kind, start, end (code points, end exclusive) and base (found by pattern).
 
     Spans come by kind (email, ip, card, phone) and then by start. The patterns' spans always stay; the field adds tokens
-    whose probability of a kind is ``least`` or more and that a skip link joins to others. Null and empty texts have none;
+    whose probability of a kind reaches its threshold. Null and empty texts have none;
     repeated rows get equal spans; ``docs`` needs text, keeps its other columns, and a column named spans is replaced. An
     empty table stays empty. Time and memory are linear in a text's length; nothing is shuffled.
     """
@@ -283,10 +346,9 @@ def find_personal_data(docs: DataFrame, field: Field, *, least: float = 0.9) ->
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         w = shared.value
-        for b in batches:
+        for b in small(batches, TOGETHER):
             rows = []
-            for t in b.column(at).to_pylist():
-                base, added = tag(t or "", w, least)
+            for base, added in tag([t or "" for t in b.column(at).to_pylist()], w):
                 rows.append([{"kind": k, "start": s, "end": e, "base": own} for k, x, y in zip(KINDS, base, added, strict=True) for s, e, own in sorted([(*v, True) for v in x] + [(*v, False) for v in y])])
             yield pa.RecordBatch.from_arrays([*b.columns, pa.array(rows, kind)], names=[*b.schema.names, "spans"])
 
@@ -294,13 +356,13 @@ def find_personal_data(docs: DataFrame, field: Field, *, least: float = 0.9) ->
 
 
 def redact(docs: DataFrame) -> DataFrame:
-    """``docs`` (text, spans) with each span replaced by its kind in angle brackets; of overlapping spans the first counts."""
+    """``docs`` (text, spans) with each span replaced by its kind in angle brackets; overlapping spans are replaced together, by the kind of the first."""
     first = F.array_sort(F.transform("spans", lambda s: F.struct(s["start"].alias("s"), (-s["end"]).alias("e"), s["kind"].alias("k"))))
     begin = F.struct(F.lit(0).cast("long").alias("at"), F.lit("").alias("done"))
 
     def step(acc, x):
         more = F.concat(acc["done"], F.substring("text", acc["at"].cast("int") + 1, (x["s"] - acc["at"]).cast("int")), F.lit("<"), x["k"], F.lit(">"))
-        return F.when(x["s"] >= acc["at"], F.struct((-x["e"]).alias("at"), more.alias("done"))).otherwise(acc)
+        return F.struct(F.greatest(-x["e"], acc["at"]).alias("at"), F.when(x["s"] >= acc["at"], more).otherwise(acc["done"]).alias("done"))
 
     text = F.aggregate(first, begin, step, lambda acc: F.concat(acc["done"], F.substring(F.col("text"), acc["at"].cast("int") + 1, F.length("text"))))
     return docs.withColumn("text", F.when(F.size("spans") > 0, text).otherwise(F.col("text")))
