@@ -9,22 +9,21 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quirekit.llm.common import texts_of
+from quirekit.llm.common import small, texts_of
 
 #: Hashed features; weights are shared by all grades.
 BITS = 18
 SLOTS = 1 << BITS
-#: Most labelled rows that a model is fitted on.
-SAMPLE_ROWS = 6000
-#: Most hashed features of one labelled row that fitting looks at (those of the smallest numbers; scoring uses all).
-SAMPLE_FEATURES = 4096
+#: Most labelled rows that a model is fitted on, always whole ones, and their features; a row of over a hundredth of these isn't
+#: sampled.
+SAMPLE_ROWS, SAMPLE_FEATURES = 6000, 6_000_000
 #: Features in fewer sampled rows than this keep the weight zero.
 LEAST_ROWS = 10
-PARTS = re.compile(r"^(\W*)(.*?)(\W*)$", re.S)
+EDGE = re.compile(r"\W*")
 #: Words remembered by a Python worker.
 CACHED = 500_000
 
@@ -40,7 +39,9 @@ class Features:
         self.known: dict[str, tuple[int, int, int, int]] = {}
 
     def _word(self, w: str) -> tuple[int, int, int, int]:
-        head, core, tail = PARTS.match(w[:4096]).groups()
+        begin = EDGE.match(w).end()
+        end = max(begin, len(w) - EDGE.match(w[::-1]).end())
+        head, core, tail = w[:begin], w[begin:end], w[end:]
         upper = len(core) > 1 and core.isupper()
         marks = _slot("mark", head + " " + tail) if len(tail) > 1 or head or not core else -1
         return _slot("word", core.lower()) if core else -1, marks, int(upper), int(marks >= 0)
@@ -133,21 +134,26 @@ def fit(rows: list[np.ndarray], grades: np.ndarray, classes: int, *, epochs: int
     return OrdinalModel(w.astype(np.float32), ends())
 
 
-def train(docs: DataFrame, ratings: DataFrame, classes: int, *, most: int = SAMPLE_ROWS) -> OrdinalModel:
-    """Model from ``ratings`` (doc_id, grade): the ``most`` rated rows of smallest hash, worst grade where rows disagree."""
+def train(docs: DataFrame, ratings: DataFrame, classes: int, *, most: int = SAMPLE_ROWS, most_features: int = SAMPLE_FEATURES) -> OrdinalModel:
+    """Model from ``ratings`` (doc_id, grade): the ``most`` rated rows of smallest hash, as far as they have ``most_features``
+    features together; the worst grade where ratings of a row disagree, one text where texts do."""
     rated = ratings.where("grade is not null and doc_id is not null").groupBy("doc_id").agg(F.min("grade").alias("grade"))
     chosen = rated.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id").limit(most)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id")
 
     def features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f = Features()
-        for b in batches:
-            got = [f.of(t)[:SAMPLE_FEATURES].tobytes() for t in texts_of(b)]
-            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2).cast(pa.int32()), pa.array(got, pa.binary())], names=["doc_id", "grade", "slots"])
-
-    got = sample.mapInArrow(features, "doc_id long, grade int, slots binary").toPandas()
-    # rows of one id count once; a fixed order
-    got = got.sort_values(["doc_id", "slots"]).drop_duplicates("doc_id")
+        for b in small(batches):
+            got = [f.of(t) for t in texts_of(b)]
+            n = pa.array([len(x) for x in got], pa.int32())
+            slots = pa.array([x.tobytes() if len(x) * 100 <= most_features else None for x in got], pa.binary())
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2).cast(pa.int32()), n, slots], names=["doc_id", "grade", "n", "slots"])
+
+    got = sample.mapInArrow(features, "doc_id long, grade int, n int, slots binary").where("slots is not null")
+    # rows of one id count once; ``most`` ids at most
+    got = got.groupBy("doc_id").agg(F.min(F.struct("slots", "n", "grade")).alias("x")).select("doc_id", "x.*")
+    upto = F.sum("n").over(Window.orderBy(F.xxhash64(F.lit(5), "doc_id"), "doc_id"))
+    got = got.withColumn("_upto", upto).where(F.col("_upto") <= most_features).toPandas().sort_values("doc_id")
     return fit([np.frombuffer(x, np.int32) for x in got["slots"]], got["grade"].to_numpy(np.int64), classes)
 
 

@@ -430,6 +430,40 @@ def test_grades_are_learnt_in_order(spark):
     assert (again.weights == model.weights).all()
 
 
+def _plain_likelihood(x, y, w, t):
+    tail = lambda j, s: 1.0 if j < 0 else 0.0 if j >= len(t) else 1 / (1 + math.exp(t[j] - s))
+    return sum(math.log(tail(g - 1, s) - tail(g, s)) for g, s in zip(y, x @ w, strict=True)) / len(y)
+
+
+def test_fit_reaches_the_largest_plain_likelihood():
+    rng = np.random.default_rng(3)
+    x = (rng.random((500, 4)) < 0.5).astype(float)
+    y = np.searchsorted([-0.5, 1.0], x @ [1.5, -2.0, 0.5, 0.0] + rng.logistic(size=500))
+    m = oq.fit([np.flatnonzero(r).astype(np.int32) for r in x], y, 3, l2=0.0, epochs=200, rate=0.1)
+    assert np.allclose(m.tails(np.array([0, 2])), [1 / (1 + math.exp(t - m.weights[0] - m.weights[2])) for t in m.thresholds])
+    ours = _plain_likelihood(x, y, m.weights[:4].astype(float), m.thresholds)
+    at, step = np.zeros(6), 0.5  # plain ascent on weights, first threshold and log of the step to the second
+    value = lambda v: _plain_likelihood(x, y, v[:4], [v[4], v[4] + math.exp(v[5])])
+    for _ in range(300):
+        here = value(at)
+        slope = np.array([(value(at + 1e-5 * e) - here) / 1e-5 for e in np.eye(6)])
+        at = at + 4 * step * slope
+    assert abs(value(at) - ours) < 0.003
+    empty = oq.fit([], np.zeros(0, np.int64), 3)
+    assert not empty.weights.any() and empty.thresholds[0] < empty.thresholds[1]
+
+
+def test_whole_words_and_features_count(spark):
+    f = oq.Features()
+    long = "z" * 300_000
+    assert set(f.of(long + "a")) != set(f.of(long + "b")) and set(f.of("!" * 300_000 + "a")) != set(f.of("?" * 300_000 + "a"))
+    rows = [(i, " ".join(f"w{k}" for k in range(200)) + (" zz" if i % 2 else "")) for i in range(60)]
+    df = spark.createDataFrame(rows, "doc_id long, text string")
+    ratings = spark.createDataFrame([(i, 1 + i % 2) for i in range(60)] + [(1, 0), (1, None)], "doc_id long, grade int")
+    model = oq.train(df, ratings, 3)
+    assert model.weights[oq._slot("word", "zz")] > 0 and oq.train(df, ratings, 3, most_features=300).weights.any() == 0
+
+
 def test_quality_edges(spark, docs, none):
     blank = oq.train(docs, spark.createDataFrame([], "doc_id long, grade int"), 3)
     got = oq.score_quality(docs, blank).collect()
