@@ -17,6 +17,8 @@ WORD = r"[^\x20\x09-\x0D]+"
 #: Keys with over one in HOT_SHARE of the rows are salted; there can be at most HOT_SHARE of them.
 HOT_SHARE = 1000
 SALTS = 32
+#: Pairs of rows held at a time.
+PAIRS = 1 << 18
 
 
 def ascii_lower(c: Column) -> Column:
@@ -115,6 +117,30 @@ def whole_runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table
         yield pa.Table.from_batches(held)
 
 
+def pairs_of(side: np.ndarray, run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Row pairs to compare, in portions, of rows sorted by run and side: all of side 0, and each of side 1 with each of side 2."""
+    if not len(run):
+        return
+    new = np.concatenate([[True], (run[1:] != run[:-1]) | (side[1:] != side[:-1])])
+    first = np.flatnonzero(new)
+    part = np.cumsum(new) - 1
+    end = np.append(first[1:], len(run))
+    row = np.arange(len(run))
+    # of a row of side 0 the later ones of its part; of one of side 1 the next part, if it is the run's side 2
+    nxt = np.minimum(part + 1, len(first) - 1)
+    has = (side == 1) & (part + 1 < len(first)) & (run[first[nxt]] == run) & (side[first[nxt]] == 2)
+    begin = np.where(side == 0, row + 1, first[nxt])
+    count = np.where(side == 0, end[part] - row - 1, np.where(has, end[nxt] - first[nxt], 0))
+    total = np.cumsum(count)
+    i = 0
+    while i < len(row):
+        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
+        c = count[i:j]
+        p = np.repeat(row[i:j], c)
+        yield p, np.arange(len(p)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin[i:j], c)
+        i = j
+
+
 def runs(batches: Iterator[pa.RecordBatch], key: str) -> Iterator[pa.Table]:
     """One table for each run of equal ``key`` in sorted batches, across batch ends; the caller bounds the runs."""
     held: list[pa.RecordBatch] = []

@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirekit.llm.common import Tables, connected_components, salted_join, small, texts_of, whole_runs
+from quirekit.llm.common import Tables, connected_components, pairs_of, salted_join, small, texts_of, whole_runs
 from quirekit.llm.context_tree import Words, normal
 
 #: Shingles are ordered by how often their cell of a histogram of 2^CELL_BITS cells occurs, then by hash. Any order gives
@@ -21,8 +21,8 @@ CELL_BITS, STRIPE_BITS = 22, 14
 COUNT_TYPES = (np.uint8, np.uint16, np.uint32, np.int64)
 #: Bits of a set's mark at least; a mark has as many as the set has shingles, rounded up to a power of two.
 LEAST_MARK = 256
-#: Rows of a list that are compared with as many others at a time, and pairs, and bytes of marks, held at a time.
-BLOCK, PAIRS, MARK_BYTES = 512, 1 << 18, 8 << 20
+#: Rows of a list that are compared with as many others at a time, and bytes of marks held at a time.
+BLOCK, MARK_BYTES = 512, 8 << 20
 #: Rows of eight bytes each that may be broadcast.
 BROADCAST_ROWS = 1 << 18
 _M1, _M2, _M3 = (np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB))
@@ -220,30 +220,6 @@ def _verified(pairs: DataFrame, docs: DataFrame, tables: Tables, width: int, per
     return tables.put(made.repartition("a", "part").sortWithinPartitions("a", "part", "member").mapInArrow(meet, "a long, b long").distinct(), wanted)
 
 
-def _pairs_of(side: np.ndarray, run: np.ndarray) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Row pairs to compare, in portions, of rows sorted by run and side: all of side 0, and each of side 1 with each of side 2."""
-    if not len(run):
-        return
-    new = np.concatenate([[True], (run[1:] != run[:-1]) | (side[1:] != side[:-1])])
-    first = np.flatnonzero(new)
-    part = np.cumsum(new) - 1
-    end = np.append(first[1:], len(run))
-    row = np.arange(len(run))
-    # of a row of side 0 the later ones of its part; of one of side 1 the next part, if it is the run's side 2
-    nxt = np.minimum(part + 1, len(first) - 1)
-    has = (side == 1) & (part + 1 < len(first)) & (run[first[nxt]] == run) & (side[first[nxt]] == 2)
-    begin = np.where(side == 0, row + 1, first[nxt])
-    count = np.where(side == 0, end[part] - row - 1, np.where(has, end[nxt] - first[nxt], 0))
-    total = np.cumsum(count)
-    i = 0
-    while i < len(row):
-        j = max(i + 1, int(np.searchsorted(total, (total[i - 1] if i else 0) + PAIRS, "right")))
-        c = count[i:j]
-        p = np.repeat(row[i:j], c)
-        yield p, np.arange(len(p)) - np.repeat(np.cumsum(c) - c, c) + np.repeat(begin[i:j], c)
-        i = j
-
-
 def _late_pairs(rest: DataFrame, tables: Tables, percent: int) -> DataFrame:
     """Pairs (a < b) of rows of one list that may link and have different labels, not both the list's main one.
 
@@ -274,7 +250,7 @@ def _late_pairs(rest: DataFrame, tables: Tables, percent: int) -> DataFrame:
         for t in whole_runs(batches, "run"):
             c = {k: t.column(k).to_numpy().astype(np.int64) for k in ("run", "side", "group", "id", "n", "i", "label", "main")}
             marks = t.column("mark").to_pylist()
-            for p, q in _pairs_of(c["side"], c["run"]):
+            for p, q in pairs_of(c["side"], c["run"]):
                 n, m = c["n"][p], c["n"][q]
                 ok = (c["label"][p] != c["label"][q]) & ((c["label"][p] != c["main"][p]) | (c["label"][q] != c["main"][q]))
                 ok &= (c["group"][p] != c["group"][q]) & (np.minimum(n, m) * 100 >= np.maximum(n, m) * percent)

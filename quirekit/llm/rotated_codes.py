@@ -11,16 +11,18 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirekit.llm.common import connected_components, runs, salted_join, written
+from quirekit.llm.common import Tables, connected_components, pairs_of, runs, salted_join, whole_runs
 
 #: Rows of a bucket that one task compares with as many others.
 BLOCK = 512
 #: Bits of a code at least.
 LEAST_BITS = 256
 #: A pair at the threshold shares a band with this probability; closer pairs with a higher one.
-RECALL = 0.995
+RECALL = 0.999
 #: Width of the confidence bounds in deviations of the estimate.
-EPSILON = 4.0
+EPSILON = 4.5
+#: Bytes of a code that go to the buckets, however wide vectors and codes are.
+SENT = LEAST_BITS // 8
 
 
 def plan_bands(rows: int, threshold: float, recall: float = RECALL) -> tuple[int, int]:
@@ -50,6 +52,12 @@ def estimate(query: np.ndarray, bits: np.ndarray, factor: np.ndarray) -> tuple[n
     return est, np.sqrt(np.maximum(1 - factor**2, 0) / (factor**2 * (d - 1)))
 
 
+def most_different(bits: int, threshold: float) -> int:
+    """Places at which the signs of ``bits`` random projections differ, at most, for a pair at the threshold: by the angle, with the bounds' width."""
+    p = math.acos(threshold) / math.pi
+    return math.ceil(bits * p + EPSILON * math.sqrt(bits * p * (1 - p)))
+
+
 def _bands(bits: np.ndarray, width: int, bands: int) -> np.ndarray:
     weights = 1 << np.arange(width, dtype=np.int64)
     return bits[:, : width * bands].reshape(len(bits), bands, width) @ weights
@@ -135,20 +143,22 @@ def link_vectors(vectors: DataFrame, *, threshold: float = 0.9, seed: int = 1) -
     ``vectors``: vec_id (long), embedding (array of numbers). Returns vec_id, n_links, component_id, kept, one row per input row.
     Equal vectors are collapsed first and counted. Codes of rotated sign bits are cut into bands; vectors that share a
     band are candidates, and a pair at the threshold shares one with probability RECALL (of all pairs at or over it, far
-    more). Estimates from code and correction factor reject candidates whose upper bound is under the threshold; the rest
-    is computed exactly, so no pair below it is linked. Buckets are compared block by block, each pair
-    counted in the first band it shares; no list of pairs is made. Null, zero, empty and non-finite vectors, and null ids, link
-    with nothing; vectors of different lengths don't either; rows that share an id are one node; repeated rows are
+    more). Only the first SENT bytes of codes go to the buckets, where the bits that differ bound the angle; the vectors with an
+    open pair are fetched by key for their block. There, estimates from code and correction factor reject candidates whose upper
+    bound is under the threshold; the rest is computed exactly, so no pair below it is linked. Buckets are compared
+    block by block, each pair counted in the first band it shares; no list of pairs is made. Null, zero, empty and non-finite vectors, and null ids, link
+    with nothing; vectors of different lengths don't either; rows that share an id are one node, whose links are added; repeated rows are
     copies of each other; labels and further columns are ignored; an empty table gives none.
     """
-    spark = vectors.sparkSession
+    tables = Tables(vectors.sparkSession)
     keyed = vectors.select(F.col("vec_id").cast("long").alias("vec_id"), "embedding").mapInArrow(_keyed, "vec_id long, copy_key string, raw binary")
     usable = keyed.where("vec_id is not null and copy_key is not null")
-    groups = written(usable.groupBy("copy_key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min("raw").alias("raw")).withColumn("dims", (F.length("raw") / 8).cast("int")))
+    groups = usable.groupBy("copy_key").agg(F.min("vec_id").alias("id"), F.count("*").alias("copies"), F.min("raw").alias("raw"))
+    groups = tables.put(groups.withColumn("dims", (F.length("raw") / 8).cast("int")).withColumn("key", F.xxhash64("copy_key")))
     edges, counts, total = None, None, 0
     for dims, n, rows in sorted(tuple(r) for r in groups.groupBy("dims").agg(F.count("*"), F.sum("copies")).collect()):
         total += rows
-        found = written(_links(spark, groups.where(F.col("dims") == dims), dims, n, threshold, seed))
+        found = tables.put(_links(tables, groups.where(F.col("dims") == dims), dims, n, threshold, seed))
         e = found.where("b is not null").select("a", "b")
         c = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
         edges, counts = (e, c) if edges is None else (edges.unionAll(e), counts.unionAll(c))
@@ -157,7 +167,7 @@ def link_vectors(vectors: DataFrame, *, threshold: float = 0.9, seed: int = 1) -
     components = connected_components(edges)
     counts = counts.groupBy("a").agg(F.sum("n").alias("n"))
     known = groups.select("copy_key", "id", "copies").join(counts.withColumnRenamed("a", "id"), "id", "left").join(components, "id", "left")
-    known = written(known.select("copy_key", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")))
+    known = tables.put(known.select("copy_key", "copies", (F.coalesce("n", F.lit(0)) + F.col("copies") - 1).alias("n_links"), F.coalesce("component", "id").alias("component_id")), groups)
     # a row without a key gets one of its own, so that such rows don't meet
     key = F.coalesce("copy_key", F.concat(F.lit("none:"), F.monotonically_increasing_id().cast("string")))
     out = salted_join(keyed.select("vec_id", key.alias("copy_key")), known, "copy_key", "copies", total, F.xxhash64("vec_id"))
@@ -165,39 +175,52 @@ def link_vectors(vectors: DataFrame, *, threshold: float = 0.9, seed: int = 1) -
     return out.select("vec_id", F.when(F.col("vec_id").isNull(), 0).otherwise(F.coalesce("n_links", F.lit(0))).cast("long").alias("n_links"), own.alias("component_id"), F.coalesce(F.col("vec_id") == own, F.lit(True)).alias("kept"))
 
 
-def _links(spark: SparkSession, groups: DataFrame, dims: int, n: int, threshold: float, seed: int) -> DataFrame:
+def _links(tables: Tables, groups: DataFrame, dims: int, n: int, threshold: float, seed: int) -> DataFrame:
     width, bands = plan_bands(n, threshold)
-    bits = max(LEAST_BITS, -(-width * bands // 8) * 8)
+    bits = max(LEAST_BITS, -(-width * bands // 64) * 64)
+    most = most_different(8 * SENT, threshold)
 
     def codes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(dims, bits, seed)
         for b in batches:
             if b.num_rows:
-                raw = np.frombuffer(b"".join(b.column(2).to_pylist()), np.float64).reshape(-1, dims)
+                raw = np.frombuffer(b"".join(b.column(3).to_pylist()), np.float64).reshape(-1, dims)
                 code, factor = encode(_unit(raw), turn)
                 packed = np.packbits(code, axis=1)
                 bucket = _bands(code, width, bands) | (np.arange(bands, dtype=np.int64) << 40)
-                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(factor), pa.array(bucket.tolist(), pa.list_(pa.int64()))], names=["id", "copies", "raw", "code", "factor", "buckets"])
-
-    coded = written(groups.select("id", "copies", "raw").mapInArrow(codes, "id long, copies long, raw binary, code binary, factor double, buckets array<long>"))
-    sizes = coded.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1")
-    rows = coded.select("id", "copies", "raw", "code", "factor", F.explode("buckets").alias("bucket")).join(sizes, "bucket")
-    blocks = F.ceil(F.col("size") / BLOCK)
-    rows = rows.withColumn("own", F.pmod(F.xxhash64("id"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
+                yield pa.RecordBatch.from_arrays([*b.columns, pa.array([r.tobytes() for r in packed], pa.binary()), pa.array(factor), pa.array(bucket.tolist(), pa.list_(pa.int64()))], names=["key", "id", "copies", "raw", "code", "factor", "buckets"])
+
+    coded = tables.put(groups.select("key", "id", "copies", "raw").mapInArrow(codes, "key long, id long, copies long, raw binary, code binary, factor double, buckets array<long>"))
+    sizes = tables.put(coded.select(F.explode("buckets").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("size")).where("size > 1"))
+    rows = coded.select("key", F.substring("code", 1, SENT).alias("sent"), F.explode("buckets").alias("bucket"))
+    rows = salted_join(rows, sizes, "bucket", "size", n * bands, F.col("key")).where("size is not null")
+    blocks = F.ceil(F.col("size") / BLOCK).cast("int")
+    rows = rows.withColumn("own", F.pmod("key", blocks).cast("int")).withColumn("other", F.explode(F.sequence(F.lit(0), blocks - 1)))
     rows = rows.withColumn("lo", F.least("own", "other")).withColumn("hi", F.greatest("own", "other")).withColumn("run", F.xxhash64("bucket", "lo", "hi"))
-    rows = rows.select("run", "bucket", "lo", "hi", "own", "id", "copies", "raw", "code", "factor").repartition("run").sortWithinPartitions("run")
+    side = F.when(F.col("lo") == F.col("hi"), 0).when(F.col("own") == F.col("lo"), 1).otherwise(2)
+    rows = rows.select("run", side.alias("side"), F.shiftright("bucket", 40).cast("int").alias("band"), "key", "sent")
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, "run"):
+            sent = np.frombuffer(b"".join(t.column("sent").to_pylist()), np.uint64).reshape(t.num_rows, -1)
+            open_ = np.zeros(t.num_rows, bool)
+            for p, q in pairs_of(t.column("side").to_numpy(), t.column("run").to_numpy()):
+                near = np.bitwise_count(sent[p] ^ sent[q]).sum(1, dtype=np.int64) <= most
+                open_[p[near]] = open_[q[near]] = True
+            yield from t.select(["run", "side", "band", "key"]).filter(pa.array(open_)).combine_chunks().to_batches()
+
+    asked = rows.repartition("run").sortWithinPartitions("run", "side").mapInArrow(look, "run long, side int, band int, key long")
+    rows = tables.put(asked).join(coded.drop("buckets"), "key").repartition("run").sortWithinPartitions("run")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         turn = rotation(dims, bits, seed)
         out: list[tuple] = []
         for t in runs(batches, "run"):
-            if t.num_rows < 2:
-                continue
-            c = {k: t.column(k).to_numpy() for k in ("bucket", "lo", "hi", "own", "id", "copies", "factor")}
+            c = {k: t.column(k).to_numpy() for k in ("side", "band", "id", "copies", "factor")}
             raw = np.frombuffer(b"".join(t.column("raw").to_pylist()), np.float64).reshape(-1, dims)
             code = np.unpackbits(np.frombuffer(b"".join(t.column("code").to_pylist()), np.uint8).reshape(len(raw), -1), axis=1).astype(bool)
-            left, right = np.flatnonzero(c["own"] == c["lo"][0]), np.flatnonzero(c["own"] == c["hi"][0])
-            counts, edges = compare_block(c["id"], c["copies"], raw, code, c["factor"], left, right, int(c["bucket"][0] >> 40), (width, bands), turn, threshold)
+            left, right = np.flatnonzero(c["side"] < 2), np.flatnonzero(c["side"] != 1)
+            counts, edges = compare_block(c["id"], c["copies"], raw, code, c["factor"], left, right, int(c["band"][0]), (width, bands), turn, threshold)
             out += [(a, None, n) for a, n in counts] + [(a, b, 0) for a, b in edges]
             if len(out) > 100_000:
                 yield _out(out)

@@ -399,6 +399,31 @@ def test_blocks_of_a_large_bucket(spark, monkeypatch):
     assert {r.component_id for r in got} == {0} and {r.n_links for r in got} == {99}
 
 
+@pytest.mark.parametrize("dims", [64, 384])
+def test_recall_at_the_threshold_against_brute_force(spark, dims):
+    rng = np.random.default_rng(dims)
+    x = rng.standard_normal((2500, dims))
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    other = rng.standard_normal((1500, dims))
+    other -= (other * x[:1500]).sum(1, keepdims=True) * x[:1500]
+    other /= np.linalg.norm(other, axis=1, keepdims=True)
+    c = rng.uniform(0.9001, 0.92, (1500, 1))
+    whole = np.concatenate([x, c * x[:1500] + np.sqrt(1 - c * c) * other])
+    want = {(i, j) for i, j in zip(*np.nonzero(np.triu(whole @ whole.T >= 0.9, 1)))}
+    assert len(want) >= 1500
+    df = spark.createDataFrame([(i, v.tolist()) for i, v in enumerate(whole)], "vec_id long, embedding array<double>").repartition(3)
+    got = {r.vec_id: r for r in rc.link_vectors(df).collect()}
+    found = sum(got[j].component_id == got[i].component_id for i, j in want)
+    assert found >= 0.99 * len(want) and sum(r.n_links for r in got.values()) <= 2 * len(want)
+
+
+def test_rows_of_one_id_are_one_node(spark):
+    a, b = [1.0, 0.0, 0.0], [0.0, 1.0, 0.0]
+    rows = [(1, a), (1, b), (2, [0.99, 0.01, 0.0]), (3, [0.01, 0.99, 0.0]), (1, a), (5, [0.0, 0.0, 1.0])]
+    got = [(r.vec_id, r.component_id) for r in rc.link_vectors(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect()]
+    assert sorted(got) == [(1, 1), (1, 1), (1, 1), (2, 1), (3, 1), (5, 5)]
+
+
 def test_estimates_are_unbiased():
     rng = np.random.default_rng(7)
     x = rng.standard_normal((2, 64))
