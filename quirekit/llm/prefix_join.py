@@ -160,6 +160,17 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(find, "doc_id long, n int, set_key binary, group long, prefix array<long>, mark binary")
 
 
+def _size_class(percent: int):
+    """Classes of the size n such that sets that may link are of one class or of neighbouring ones."""
+    return F.floor(F.log("n") / (math.log(100 / percent) * 1.0001 if percent < 100 else 1.0)).cast("int")
+
+
+def _sizes_meet():
+    """Whether of a list (listed, sizes: the bits of its groups' classes modulo 60) any two groups may link by size."""
+    turned = (F.shiftleft("sizes", 1).bitwiseOR(F.shiftrightunsigned("sizes", 59))).bitwiseAND(F.lit((1 << 60) - 1))
+    return (F.bit_count("sizes") < F.col("listed")) | (F.col("sizes").bitwiseAND(turned) != 0)
+
+
 def _may_link(n: str, m: str, i: str, j: str, percent: int):
     """Sizes n, m and the places i, j of the first common element still allow the likeness."""
     small, large = F.least(n, m), F.greatest(n, m)
@@ -226,8 +237,7 @@ def _late_pairs(rest: DataFrame, tables: Tables, percent: int) -> DataFrame:
     ``rest``: list, group, id, n, i, label, main, mark. Lists of more than BLOCK rows are cut into classes of sizes that can't link
     beyond the next class, and those into blocks; no pair is a row before it has passed every test.
     """
-    unit = math.log(100 / percent) * 1.0001 if percent < 100 else 1.0
-    rest = rest.withColumn("size", F.floor(F.log("n") / unit).cast("int"))
+    rest = rest.withColumn("size", _size_class(percent))
     per = rest.groupBy("list", "size").agg(F.count("*").alias("rows"))
     # a list has some hundred classes at most
     blocks_of = F.map_from_entries(F.collect_list(F.struct("size", F.ceil(F.col("rows") / BLOCK).cast("int"))))
@@ -263,13 +273,14 @@ def _late_pairs(rest: DataFrame, tables: Tables, percent: int) -> DataFrame:
     return rows.repartition("run").sortWithinPartitions("run", "side").mapInArrow(compare, "a long, b long").where("a <> b").distinct()
 
 
-def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) -> DataFrame:
+def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90, tables: Tables | None = None) -> DataFrame:
     """Components of the documents whose sets of word shingles have a Jaccard likeness of ``percent`` / 100 or more.
 
     ``docs``: doc_id, text. Words are runs without ASCII white space, A-Z lower-cased; a set holds the distinct runs of ``width``
     words, or all words as one run if there are fewer. Returns doc_id, n_shingles, component_id (the smallest doc_id that
     links reach), one row per input row. Null and empty texts have empty sets and link with nothing; neither do null ids;
     repeated rows link as copies do; rows that share an id are one node; further columns are ignored; an empty table gives none.
+    The result reads tables that ``tables`` holds; a caller that has written it may clear them.
 
     Documents of equal sets collapse first, then those of equal prefix and size into groups. Groups that share a prefix
     shingle, fit by size and by its places are candidates; groups are expanded and members verified on whole sets. Of
@@ -278,7 +289,7 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     candidate that could join two components is left out: the result is exact (sets are of 64-bit hashes). Lists are compared in
     blocks by sizes, places and marks of the sets, so a shingle of many unrelated documents makes no table of pairs.
     """
-    tables = Tables(docs.sparkSession)
+    tables = tables or Tables(docs.sparkSession)
     found = tables.put(_prefixes(docs, width, percent))
     usable = found.where("doc_id is not null and n > 0")
     # one document of each set, which its copies follow; a group is known by its smallest document
@@ -291,9 +302,11 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90) ->
     members = tables.put(salted_join(single.select("group", "id", "n"), sizes, "group", "members", rows, F.xxhash64("id")))
     marks = single.select("id", "n", "mark")
     places = groups.select("head", "n", F.posexplode("prefix").alias("i", "shingle"))
-    # of the lists of two groups, which chance makes most of, those stay whose groups fit by size and place
-    often = places.groupBy("shingle").agg(F.count("*").alias("listed"), F.min(F.col("n") - F.col("i")).alias("_rest"), F.sum("n").alias("_n"))
-    often = often.where((F.col("listed") > 2) | ((F.col("listed") == 2) & (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent)))))
+    # lists stay in which two groups fit by size and, if there are but two, by place: chance makes most lists, but few of these
+    bit = F.expr("shiftleft(1L, pmod(_class, 60))")
+    often = places.withColumn("_class", _size_class(percent)).groupBy("shingle").agg(F.count("*").alias("listed"), F.bit_or(bit).alias("sizes"), F.min(F.col("n") - F.col("i")).alias("_rest"), F.sum("n").alias("_n"))
+    pair = (F.col("listed") > 2) | (F.col("_rest") >= F.ceil(F.lit(percent) * F.col("_n") / (100 + percent)))
+    often = often.where((F.col("listed") > 1) & pair & _sizes_meet())
     often = tables.put(often.select("shingle", "listed"))
     total = groups.agg(F.coalesce(F.sum(F.size("prefix")), F.lit(0))).first()[0]
     lists = tables.put(salted_join(places, often, "shingle", "listed", total, F.xxhash64("head")).where("listed is not null"), groups, often)
