@@ -27,9 +27,11 @@ def ascii_lower(c: Column) -> Column:
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """A fresh folder under ``spark.checkpoint.dir``; only where that is unset (tests) a temporary one is set."""
+    """A fresh folder under ``spark.checkpoint.dir``; only where that is unset, in local mode, a temporary one is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
+        if not spark.sparkContext.master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="quirekit-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", base)
     path = f"{base.rstrip('/')}/quirekit-{uuid.uuid4().hex}"
@@ -69,6 +71,10 @@ class Tables:
         if done:
             self.spark._jvm.System.gc()
 
+    def clear(self) -> None:
+        """Deletes all tables that are left, once what was made of them is written."""
+        self.drop(*[df for _, df in self.paths.values()])
+
 
 def salted_join(left: DataFrame, right: DataFrame, key: str, rows: str, total: int, salt: Column, salts: int = SALTS) -> DataFrame:
     """``left`` with the columns of ``right`` (unique per ``key``), hot keys split.
