@@ -14,6 +14,7 @@ TRANSIENT_WORDS = (
     "temporarily unavailable", "model is overloaded", "server error", "upstream", "timeout", "timed out",
 )
 DELAY_KEYS = ("retryDelay", "quotaResetDelay")
+RESET_KEY = "quotaResetTimeStamp"
 
 
 def any_word(text: Column, words: tuple[str, ...]) -> Column:
@@ -43,11 +44,32 @@ def duration_seconds(text: Column) -> Column:
     return F.when(seconds.isNotNull(), F.greatest(F.ceil(seconds), F.lit(1))).cast("int")
 
 
-def retry_delay(message: Column) -> Column:
-    """Seconds to wait that a message names, or null."""
-    found = [F.nullif(F.regexp_extract(message, f'(?i)"{k}"' + r'\s*:\s*"([^"]+)"', 1), F.lit("")) for k in DELAY_KEYS]
+def json_value(message: Column, key: str) -> Column:
+    """Text of a key in JSON within a message, also where the JSON is quoted once more; null if there is none."""
+    q = r'\\?"'
+    return F.nullif(F.regexp_extract(message, f"(?i){q}{key}{q}" + rf"\s*:\s*{q}([^\"\\]+){q}", 1), F.lit(""))
+
+
+def retry_delay(message: Column, now: Column | None = None) -> Column:
+    """Seconds to wait that a message names, or null; with ``now`` also from the time at which it says a quota is reset."""
+    found = [json_value(message, k) for k in DELAY_KEYS]
     after = F.nullif(F.regexp_extract(message, r"(?i)reset after\s+([0-9hms.]+)", 1), F.lit(""))
-    return F.coalesce(*[F.when(x.isNotNull(), duration_seconds(x)) for x in [*found, after]])
+    delays = [F.when(x.isNotNull(), duration_seconds(x)) for x in [*found, after]]
+    if now is not None:
+        micros = F.unix_micros(F.try_to_timestamp(json_value(message, RESET_KEY))) - F.unix_micros(now)
+        delays.append(F.when(micros > 0, F.ceil(micros / 1e6)).cast("int"))
+    return F.coalesce(*delays)
+
+
+def backoff_seconds(attempt: Column, provider_trouble: Column) -> Column:
+    """Seconds before the next attempt: powers of two, up to 12 after a provider's trouble and 8 otherwise."""
+    return F.least(F.pow(F.lit(2.0), attempt), F.when(provider_trouble, 12.0).otherwise(8.0)).cast("int")
+
+
+def reason_in(message: Column) -> Column:
+    """Finish reason that an error text names, normalised; empty if it names none."""
+    found = [F.nullif(F.regexp_extract(message, p, 1), F.lit("")) for p in (r'(?i)"finishReason"\s*:\s*"([^"]+)"', r"(?i)'finishReason'\s*:\s*'([^']+)'", r"(?i)finishReason\s*=\s*([A-Za-z0-9_.]+)")]
+    return finish_reason(F.coalesce(*found, F.lit("")))
 
 
 def finish_reason(reason: Column) -> Column:

@@ -107,9 +107,9 @@ def is_table_markup(c: Column) -> Column:
 
 
 def preview(c: Column, most: int = 50) -> Column:
-    """One line of a text, cut to ``most`` characters with an ellipsis."""
+    """One line of a text, cut to ``most`` characters with an ellipsis of three dots."""
     line = squeeze(F.coalesce(c, F.lit("")))
-    return F.when(F.length(line) > most, F.concat(F.substring(line, 1, most - 1), F.lit("…"))).otherwise(line)
+    return F.when(F.length(line) > most, F.concat(F.substring(line, 1, most - 3), F.lit("..."))).otherwise(line)
 
 
 def join_prompt(prompt: Column, name: Column, context: Column) -> Column:

@@ -7,7 +7,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
+from pyspark.sql import functions as F
+
+from quirekit.operators.assets import FIGURE_TOKEN, number_tokens
 
 
 def components(mask: np.ndarray) -> Iterator[tuple[int, int, int, int, int]]:
@@ -44,24 +47,66 @@ def overlap(a: tuple, b: tuple) -> float:
 
 
 def figure_boxes(grey: np.ndarray, *, dark: int = 200, grow: int = 3, least_h: float = 0.07, least_w: float = 0.18, most_area: float = 0.88, most: int = 3, tried: int = 20, shared: float = 0.45) -> list[tuple[int, int, int, int]]:
-    """Up to ``most`` boxes of the largest dark regions of figure-like size that hardly overlap, top to bottom."""
+    """Up to ``most`` boxes of dark regions of figure-like size that hardly overlap, the best first.
+
+    A region counts by its pixels and height. The ``tried`` best are then weighed by place: those above the middle
+    count most, very high ones and thin ones at the top, which are headers, little.
+    """
     h, w = grey.shape
     lo, hi = int(grey.min()), int(grey.max())
     flat = (grey.astype(np.float64) - lo) * (255 / (hi - lo)) if hi > lo else grey
     k = max(1, min(w, h) // 900)
-    mask = dilate(flat[::k, ::k] < dark, grow)
+    mask = dilate(flat[::k, ::k] < dark, max(1, grow // k))
     found = []
-    for x0, y0, x1, y1, _ in components(mask):
-        box = (x0 * k, y0 * k, min(x1 * k, w), min(y1 * k, h))
-        bw, bh = (box[2] - box[0]) / w, (box[3] - box[1]) / h
+    rows, columns = mask.shape
+    for x0, y0, x1, y1, pixels in components(mask):
+        bw, bh = (x1 - x0) / columns, (y1 - y0) / rows
         if bh >= least_h and bw >= least_w and bw * bh <= most_area:
-            score = bw * bh * (0.5 if bh > 0.72 else 1.0)
-            found.append((score, box))
+            found.append((pixels * (1 + bh), bh, (x0 * k, y0 * k, x1 * k, y1 * k)))
+    best = sorted(found, key=lambda f: -f[0])[:tried]
+    place = lambda box: 1.25 - abs((box[1] + box[3]) / 2 / h - 0.42)
+    weight = lambda bh, box: (0.2 if bh > 0.72 else 1.0) * (0.4 if box[1] < 0.03 * h and bh < 0.12 else 1.0)
     chosen: list[tuple] = []
-    for _, box in sorted(found, key=lambda f: (-f[0], f[1]))[:tried]:
+    for _, box in sorted(((s * place(box) * weight(bh, box), box) for s, bh, box in best), key=lambda f: -f[0]):
         if len(chosen) < most and all(overlap(box, c) <= shared for c in chosen):
             chosen.append(box)
-    return sorted(chosen, key=lambda b: (b[1], b[0]))
+    return chosen
+
+
+def crops(boxes: DataFrame, key: str = "id", *, pad: int = 12, most_area: float = 0.9) -> DataFrame:
+    """Boxes (key, w, h, box_no, x0, y0, x1, y1) grown by ``pad`` within the page; those of almost the whole page go.
+
+    Adds the crop's file name, page and box number; the pixels are cut by ``cut``."""
+    grown = boxes.select(
+        key, "w", "h", "box_no", F.greatest(F.col("x0") - pad, F.lit(0)).alias("x0"), F.greatest(F.col("y0") - pad, F.lit(0)).alias("y0"),
+        F.least(F.col("x1") + pad, F.col("w")).alias("x1"), F.least(F.col("y1") + pad, F.col("h")).alias("y1"),
+    )
+    area = (F.col("x1") - F.col("x0")) * (F.col("y1") - F.col("y0")) / (F.col("w") * F.col("h"))
+    return grown.where(area < most_area).withColumn("file", F.format_string("figures/%s-%d.jpg", F.col(key), F.col("box_no")))
+
+
+def cut(px: Column, w: Column, x0: Column, y0: Column, x1: Column, y1: Column) -> Column:
+    """Grey values of a box, by row, from those of the whole page."""
+    return F.flatten(F.transform(F.sequence(y0, y1 - 1), lambda y: F.slice(px, y * w + x0 + 1, x1 - x0)))
+
+
+def needs_crop(tokens: Column) -> Column:
+    """Those of a page's figure names that don't name a crop yet: a bare number, a page image, or any path outside ``figures/``."""
+    path = lambda t: F.replace(t, F.lit("\\"), F.lit("/"))
+    return F.filter(tokens, lambda t: F.regexp_extract(path(t), "[^/]*$", 0).rlike(r"(?i)^[0-9]+(\.(jpg|jpeg|png|webp))?$") | ~path(t).contains("figures/"))
+
+
+def place_crops(pages: DataFrame, found: DataFrame, page: str = "page_no", text: str = "md") -> DataFrame:
+    """Pages with their figure tokens naming the page's crops in order; tokens beyond the last crop name it again.
+
+    ``found``: page, box_no, file. Pages without a token that needs a crop, and those without crops, stay; adds changed."""
+    files = found.groupBy(page).agg(F.transform(F.array_sort(F.collect_list(F.struct("box_no", "file"))), lambda x: x["file"]).alias("_f"))
+    both = pages.join(files, page, "left")
+    tokens = F.regexp_extract_all(F.col(text), F.lit(FIGURE_TOKEN), F.lit(1))
+    more = F.array_repeat(F.element_at("_f", -1), F.greatest(F.size(tokens) - F.size("_f"), F.lit(0)))
+    due = F.col("_f").isNotNull() & (F.size(needs_crop(tokens)) > 0)
+    done = F.when(due, number_tokens(F.col(text), F.concat("_f", more))).otherwise(F.col(text))
+    return both.withColumn("changed", F.coalesce(done != F.col(text), F.lit(False))).withColumn(text, done).drop("_f")
 
 
 def find_figures(images: DataFrame, key: str = "id") -> DataFrame:

@@ -64,6 +64,12 @@ def last_header(text: pd.Series) -> pd.Series:
     return text.map(lambda t: markup.last_header(t or ""))
 
 
+@F.pandas_udf(T.ArrayType(T.IntegerType()))
+def sentence_ends(text: pd.Series) -> pd.Series:
+    """Places of the marks after which a long paragraph may be cut."""
+    return text.map(lambda t: markup.sentence_ends(t or ""))
+
+
 def split_long(text: Column, most: int = 250, slack: int = 200) -> Column:
     """One paragraph cut after sentence ends; short ones don't go to Python."""
 

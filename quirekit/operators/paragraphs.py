@@ -26,7 +26,9 @@ def split_paragraphs(df: DataFrame, text: str = "text", *, drop_blank: bool = Fa
 
 
 def sections(df: DataFrame, text: str = "text") -> DataFrame:
-    """Sections at level-one headings: section_no from 1, title, body; what stands before the first heading joins section 1."""
+    """Sections at level-one headings: section_no from 1, title, body; what stands before the first heading joins section 1.
+
+    Books without a heading have no sections; ``heading_gate`` tells them."""
     pieces = F.split(F.concat(F.lit("\n"), F.regexp_replace(text, "\r\n", "\n")), r"\n(?=#[ \t]+)")
     rows = df.withColumn("_pieces", pieces).where(F.size("_pieces") > 1)
     body = lambda i: F.when(i == 1, F.concat(F.substring(F.col("_pieces")[0], 2, 1 << 30), F.when(F.length(F.col("_pieces")[0]) > 1, "\n").otherwise(""), F.get("_pieces", i))).otherwise(F.get("_pieces", i))

@@ -31,6 +31,34 @@ def block_structure(df: DataFrame, key: str, text: str = "output") -> DataFrame:
     return out.join(blank, key).select(key, "sep_count", F.col("_b.block_no").alias("first_bad_block"), F.col("_b.n").alias("bad_lines"), "dangling", "has_blank")
 
 
+def structure_details(df: DataFrame, key: str, expected: str, text: str = "output", most: int = 5) -> DataFrame:
+    """What is wrong with the blocks of each output, the first ``most`` findings in order: detail_no, kind, block_no, n_lines, from_para, to_para.
+
+    A block of an even number of lines over two holds several paragraphs (merged), one of fewer than two lacks a line (short),
+    any other is split wrongly (split). A total other than ``expected`` is the last finding (too_few, too_many).
+    """
+    b = blocks(df, key, text).where("closed").select(key, "block_no", F.size("kept").alias("n_lines"))
+    n = F.col("n_lines")
+    held = F.when(n == 0, 0).when(n % 2 == 0, n / 2).otherwise(1).cast("int")
+    before = Window.partitionBy(key).orderBy("block_no").rowsBetween(Window.unboundedPreceding, -1)
+    b = b.withColumn("from_para", (F.coalesce(F.sum(held).over(before), F.lit(0)) + 1).cast("int"))
+    merged = (n > 2) & (n % 2 == 0)
+    bad = b.where(n != 2).select(key, F.when(merged, "merged").when(n < 2, "short").otherwise("split").alias("kind"), "block_no", "n_lines", F.when(merged, F.col("from_para")).alias("from_para"), F.when(merged, F.col("from_para") + (n / 2).cast("int") - 1).alias("to_para"))
+    count = F.regexp_count(F.coalesce(text, F.lit("")), F.lit("(?m)" + SEPARATOR))
+    total = df.withColumn("_n", count).where(F.col("_n") != F.col(expected)).select(key, F.when(F.col("_n") < F.col(expected), "too_few").otherwise("too_many").alias("kind"), F.lit(None).cast("int").alias("block_no"), F.col("_n").alias("n_lines"), *[F.lit(None).cast("int").alias(c) for c in ("from_para", "to_para")])
+    number = F.row_number().over(Window.partitionBy(key).orderBy(F.col("block_no").asc_nulls_last()))
+    return bad.unionByName(total).withColumn("detail_no", number).where(F.col("detail_no") <= most)
+
+
+def retry_feedback(output: Column, reasons: Column) -> Column:
+    """What is added to a request that is made again: the refused output and the numbered reasons; empty without either."""
+    out = strip(F.coalesce(output, F.lit("")))
+    said = F.filter(F.transform(F.coalesce(reasons, F.array().cast("array<string>")), lambda x: strip(x)), lambda x: x != "")
+    listed = F.array_join(F.transform(said, lambda x, i: F.concat((i + 1).cast("string"), F.lit(". "), x)), "\n")
+    parts = F.array_compact(F.array(F.lit("The last output was refused:"), F.nullif(out, F.lit("")), F.when(F.size(said) > 0, F.concat(F.lit("Reasons:\n"), listed)), F.lit("Give two lines for each paragraph, source and > target, then ---, without blank lines.")))
+    return F.when((out == "") & (F.size(said) == 0), "").otherwise(F.array_join(parts, "\n"))
+
+
 def looks_merged(out: Column, first: Column, second: Column) -> Column:
     """Whether an output holds two expected paragraphs, punctuation and spaces apart."""
     o, a, b = normal_content(out), normal_content(first), normal_content(second)

@@ -135,10 +135,6 @@ def ordered_concat(s: SparkSession, d: str) -> DataFrame:
     return out.select("conv_id", F.length("text").alias("n_chars"), F.sha2("text", 256).alias("sha"))
 
 
-def split_candidates_count(s: SparkSession, d: str) -> DataFrame:
-    return table(s, d, "documents").select("doc_id", F.regexp_count("text", F.lit("[!?]")).alias("n"))
-
-
 def long_paragraph_split(s: SparkSession, d: str) -> DataFrame:
     rows = pp.split_lines(table(s, d, "documents").select("doc_id", "text"), name="para")
     cut = rows.select("doc_id", "para_no", F.posexplode(pg.split_long(F.col("para"))).alias("piece_no", "piece"))
@@ -146,11 +142,11 @@ def long_paragraph_split(s: SparkSession, d: str) -> DataFrame:
 
 
 def split_conservation(s: SparkSession, d: str) -> DataFrame:
-    """No character but white space is lost by splitting long paragraphs."""
-    rows = table(s, d, "documents").select("doc_id", F.explode(F.split("text", "\n")).alias("para"))
-    bare = lambda c: F.regexp_replace(c, r"(?U)\s", "")
-    same = bare(F.array_join(pg.split_long(F.col("para")), "")) == bare(F.col("para"))
-    return rows.groupBy("doc_id").agg(F.min(same).alias("equal_modulo_space"))
+    """Hash of a document put together from the pieces of its paragraphs, white space apart: nothing else is lost by splitting."""
+    rows = table(s, d, "documents").select("doc_id", F.posexplode(F.split("text", "\n")).alias("para_no", "para"))
+    bare = F.regexp_replace(F.array_join(pg.split_long(F.col("para")), ""), r"(?U)\s", "")
+    whole = F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("para_no", "bare"))), lambda x: x["bare"]), "")
+    return rows.select("doc_id", "para_no", bare.alias("bare")).groupBy("doc_id").agg(F.sha2(whole, 256).alias("bare_sha"))
 
 
 def ocr_resume(s: SparkSession, d: str) -> DataFrame:
@@ -180,7 +176,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         coverage_missing, coverage_extra, coverage_report, stale_reasons, page_is_valid_flags, page_gaps, page_bounds, progress_status, interval_median_last20, eta_seconds, resume_state, paragraph_split, paragraph_split_blank,
-        h1_sections, batch_slices, book_chunks, chunk_stats, largest_paragraph, content_hash, content_normalize, ordered_concat, split_candidates_count, long_paragraph_split, split_conservation, ocr_resume, dead_letter,
+        h1_sections, batch_slices, book_chunks, chunk_stats, largest_paragraph, content_hash, content_normalize, ordered_concat, long_paragraph_split, split_conservation, ocr_resume, dead_letter,
     )
 }
 
@@ -238,7 +234,6 @@ ORACLES = {
     "content_hash": "SELECT doc_id, sha256(text) AS sha FROM documents",
     "content_normalize": r"SELECT doc_id, sha256(regexp_replace(text, '[\p{P}\s]', '', 'g')) AS sha, length(regexp_replace(text, '[\p{P}\s]', '', 'g'))::INTEGER AS n FROM documents",
     "ordered_concat": "SELECT conv_id, length(t)::INTEGER AS n_chars, sha256(t) AS sha FROM (SELECT conv_id, string_agg(text, chr(10) || chr(10) ORDER BY turn) AS t FROM conversations GROUP BY 1)",
-    "split_candidates_count": "SELECT doc_id, len(regexp_extract_all(text, '[!?]'))::INTEGER AS n FROM documents",
-    "split_conservation": "SELECT doc_id, true AS equal_modulo_space FROM documents",
+    "split_conservation": "SELECT doc_id, sha256(regexp_replace(text, '\\s', '', 'g')) AS bare_sha FROM documents",
     "ocr_resume": "SELECT doc_id FROM documents WHERE doc_id % 2 <> 0 OR doc_id % 10 = 0 OR doc_id % 6 = 0",
 }

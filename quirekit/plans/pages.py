@@ -281,6 +281,6 @@ ORACLES = {
     "inline_token_repair": "SELECT * FROM (VALUES (1, '中和文', 1), (2, 'a and b', 0), (3, '他of 的or中', 0), (4, '中 he', 0)) AS v(id, text, n)",
     "divider_spacing": """SELECT id, replace(t, '/', chr(10)) AS text FROM (VALUES (1, '# Title/> Titel/body/> Text//---//next/> naechst'), (2, 'a//> b//---//c//---/'), (3, '## A b/  > C d/# E/> F/'), (4, '---//x'), (5, 'plain')) AS v(id, t)""",
     "merge_gate": "SELECT * FROM (VALUES ('gfm', 3, 'missing'), ('note', 2, 'failed')) AS v(book_id, page_no, problem)",
-    "table_grid_errors": """SELECT * FROM (VALUES (2, '</tr> doesn''t close <td>'), (3, 'rowspan ''0'' isn''t a number from 1 to 999'), (4, 'attribute onclick of <td> isn''t allowed'), (4, 'row 2: width 1 of 2'), (5, 'tag <p> isn''t allowed'), (5, 'tag </p> isn''t allowed')) AS v(id, error)""",
+    "table_grid_errors": """SELECT * FROM (VALUES (2, '</tr> doesn''t close <td>'), (3, 'rowspan=''0'' of <td> isn''t allowed'), (4, 'onclick=''x'' of <td> isn''t allowed'), (4, 'row 2: width 1 of 2'), (5, 'tag <p> isn''t allowed'), (5, 'tag </p> isn''t allowed')) AS v(id, error)""",
     "figure_boxes": "SELECT 0::BIGINT AS id, 1 AS box_no, 77 AS x0, 117 AS y0, 323 AS x1, 363 AS y1",
 }

@@ -10,6 +10,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quirekit.functions.text import strip
+
 IMAGE_GLOB = "*.{jpg,jpeg,png,bmp,tif,tiff,webp}"
 MANIFEST = """version int, source_pdf string, source_pdf_sha256 string, source_pages int, first_page int, last_page int, dpi int, format string,
 jpeg_quality int, max_dim int, created_at string, pages array<struct<pdf_page int, output_index int, file string, width int, height int, sha256 string>>"""
@@ -39,7 +41,12 @@ def page_texts(spark: SparkSession, folder: str) -> DataFrame:
 def sidecars(spark: SparkSession, folder: str, suffix: str = "meta", schema: str = SIDECAR) -> DataFrame:
     """Sidecars ``N.<suffix>.json``; one that can't be parsed has null fields."""
     df = spark.read.option("pathGlobFilter", f"*.{suffix}.json").text(folder, wholetext=True).withColumn("page_no", F.regexp_extract(F.input_file_name(), rf"/([0-9]+)\.{suffix}\.json$", 1).try_cast("int"))
-    return df.where("page_no is not null").select("page_no", F.from_json("value", schema, {"mode": "PERMISSIVE"}).alias("m")).select("page_no", "m.*")
+    return df.where("page_no is not null").select("page_no", sidecar(F.col("value"), schema).alias("m")).select("page_no", "m.*")
+
+
+def sidecar(value: Column, schema: str = SIDECAR) -> Column:
+    """Fields of a sidecar's text, all null if it can't be parsed."""
+    return F.from_json(value, schema, {"mode": "PERMISSIVE"})
 
 
 def manifest(spark: SparkSession, path: str) -> DataFrame:
@@ -51,7 +58,12 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
 def first_line(spark: SparkSession, path: str) -> DataFrame:
     """The first line that isn't blank of each text file: an indirection to another path."""
     df = spark.read.text(path, wholetext=True)
-    return df.select(F.input_file_name().alias("file"), F.try_element_at(F.filter(F.transform(F.split("value", r"\r?\n"), lambda x: F.trim(x)), lambda x: x != ""), F.lit(1)).alias("target"))
+    return df.select(F.input_file_name().alias("file"), first_filled_line(F.col("value")).alias("target"))
+
+
+def first_filled_line(value: Column) -> Column:
+    """The first line of a text that isn't blank, without outer white space."""
+    return F.try_element_at(F.filter(F.transform(F.split(value, r"\r?\n"), lambda x: strip(x)), lambda x: x != ""), F.lit(1))
 
 
 def epub_entries(spark: SparkSession, folder: str) -> DataFrame:

@@ -13,10 +13,8 @@ def test_against_sql(spark, sf, name):
     assert ours == theirs
 
 
-@pytest.mark.parametrize("name", sorted(set(catalog.queries()) - set(ORACLES)))
-def test_runs(spark, sf, name):
-    df = catalog.queries()[name](spark, sf)
-    assert df.columns and df.count() >= 0
+def test_every_query_has_sql():
+    assert set(catalog.queries()) == set(ORACLES)
 
 
 def test_entry(spark):

@@ -3,6 +3,7 @@ import json
 import zipfile
 
 import numpy as np
+import pytest
 
 from quirekit.operators import figures, providers
 from quirekit.sources import files, sinks
@@ -101,3 +102,27 @@ def test_stream_resumes(spark, tmp_path):
     spark.createDataFrame([(2, "b"), (2, "new"), (3, "c")], schema).write.mode("append").parquet(src)
     run()
     assert sorted((r.page_no, r.text) for r in spark.read.parquet(out).collect()) == [(1, "a"), (2, "b"), (2, "new"), (3, "c")]
+
+
+def test_files_are_replaced_whole(tmp_path):
+    path = tmp_path / "r.json"
+    sinks.write_json({"b": 1, "a": ["é"]}, str(path))
+    assert path.read_text() == '{\n  "a": [\n    "é"\n  ],\n  "b": 1\n}\n'
+    with pytest.raises(RuntimeError), sinks.replaced(str(path)) as f:
+        f.write("half")
+        raise RuntimeError
+    assert '"b": 1' in path.read_text() and [p.name for p in tmp_path.iterdir()] == ["r.json"]
+
+
+def test_package_round_trip(spark, tmp_path):
+    rows = [("b", 0, "OPS/a.xhtml", "<p>é</p>", None), ("b", 1, "mimetype", "application/epub+zip", None), ("b", 2, "OPS/p.png", None, b"\x00\x01")]
+    sinks.write_package(spark.createDataFrame(rows, "book string, ord int, name string, content string, data binary"), str(tmp_path / "b.epub"))
+    back = files.epub_entries(spark, str(tmp_path)).orderBy("ord").collect()
+    assert [(r.name, r.stored, r.content, r.bad) for r in back] == [("mimetype", True, "application/epub+zip", False), ("OPS/a.xhtml", False, "<p>é</p>", False), ("OPS/p.png", False, None, False)]
+
+
+def test_images_are_written_once(spark, tmp_path):
+    df = spark.createDataFrame([("f/1.jpg", b"abc"), ("2.jpg", b"de")], "name string, image binary")
+    assert {r.written for r in sinks.write_images(df, str(tmp_path)).collect()} == {True}
+    assert (tmp_path / "f" / "1.jpg").read_bytes() == b"abc"
+    assert {r.written for r in sinks.write_images(df, str(tmp_path)).collect()} == {False}
