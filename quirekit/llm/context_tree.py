@@ -19,9 +19,9 @@ DEPTH, EDGE = 4, 0xFF
 #: What a counted key is: a byte after its context, a word, the end of a text.
 GRAM, TOKEN, END, DOC = 0, 1, 2, 3
 #: At most so many keys of each kind are frequent: those with over 1 in so many of all occurrences.
-FREQUENT = {GRAM: 1 << 22, TOKEN: 1 << 22}
+FREQUENT = {GRAM: 1 << 21, TOKEN: 1 << 20}
 #: Text bytes handled at a time, and partial counts held before they are merged and sent on.
-PART, HELD = 2 << 20, 1 << 19
+PART, HELD = 1 << 20, 1 << 18
 LOG_HALF = np.log(0.5)
 
 
