@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -14,6 +15,8 @@ from pyspark.sql import types as T
 RUN_BITS = 5
 #: Characters of a text handled at a time.
 SLICE = 1 << 20
+#: Passages, and their characters, that are broadcast at a time.
+SENT_ROWS, SENT_CHARS = 1 << 18, 1 << 25
 _M = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -49,7 +52,16 @@ def anchors_in(text: str, known: list[np.ndarray]) -> np.ndarray:
 def passages_in(docs: DataFrame, passages: DataFrame) -> DataFrame:
     """Rows of ``docs`` (text) joined with those of ``passages`` (passage) that the text contains; nulls hold and are in none.
 
-    ``passages`` is small: it is broadcast. Every pair that contains the passage shares the passage's anchor."""
+    Every pair that contains the passage shares the passage's anchor. Passages are broadcast, in as many slices of at most about
+    SENT_ROWS rows and SENT_CHARS characters as it takes, so texts are never shuffled."""
+    size = passages.agg(F.count("*").alias("n"), F.coalesce(F.sum(F.length("passage")), F.lit(0)).alias("chars")).first()
+    slices = max(1, -(-size.n // SENT_ROWS), -(-size.chars // SENT_CHARS))
+    slice_of = F.pmod(F.xxhash64("passage"), F.lit(slices))
+    return reduce(DataFrame.unionByName, [_holding(docs, passages.where(slice_of == k)) for k in range(slices)])
+
+
+def _holding(docs: DataFrame, passages: DataFrame) -> DataFrame:
+    """The pairs of one slice."""
 
     def mark(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:

@@ -1,7 +1,9 @@
+import numpy as np
+import pytest
 from pyspark.sql import functions as F
 
 from quirekit.functions import text as tx
-from quirekit.operators import assets, links, pages, stages
+from quirekit.operators import assets, links, pages, paragraphs, passages, stages
 from quirekit.operators.providers import Answer
 
 
@@ -73,3 +75,33 @@ def test_passages_are_found_in_the_normal_form(spark, tmp_path):
     plain = lambda t: "".join(c for c in t if c not in " :,-\u2013;().")
     want = [(i, j) for i, t in enumerate(docs) for j, p in enumerate(items) if t is not None and p is not None and plain(p) in plain(t)]
     assert sorted((r.doc_id, r.item_id) for r in pages.merge_suspect(spark, str(tmp_path)).collect()) == want
+
+
+@pytest.mark.parametrize("runs", [1, 7, 40])
+def test_packing_in_runs_equals_one_fold(spark, runs):
+    rng = np.random.default_rng(runs)
+    rows = [(f"b{k % 4}" if k % 4 else None, k, int(n)) for k, n in enumerate(rng.choice([0, 1, 3, 10, 18, 19, 20, 21, 50], 900))]
+    want, state = {}, {}
+    for b, k, n in rows:
+        chunk, used = state.get(b, (0, None))
+        chunk, used = (chunk, used + 2 + n) if used is not None and used + 2 + n <= 20 else (chunk + 1, n)
+        state[b] = chunk, used
+        want[b, k] = chunk
+    df = spark.createDataFrame(rows, "book string, at long, n int").repartition(5)
+    got = paragraphs.pack_greedily(df, "book", ["at"], "n", 20, runs=runs)
+    assert got.columns == ["book", "at", "n", "chunk_no"]
+    assert {(r.book, r["at"]): r.chunk_no for r in got.collect()} == want
+    assert paragraphs.pack_greedily(df.where("false"), "book", ["at"], "n", 20).count() == 0
+    named = df.selectExpr("book", "lpad(at, 5, '0') as at", "n")
+    assert {(r.book, int(r["at"])): r.chunk_no for r in paragraphs.pack_greedily(named, "book", ["at"], "n", 20).collect()} == want
+
+
+def test_passages_in_slices_equal_one(spark, monkeypatch):
+    docs = spark.createDataFrame([(i, "".join(chr(97 + (i * k) % 26) for k in range(200))) for i in range(40)] + [(99, None)], "doc_id int, text string")
+    wanted = docs.where("text is not null").selectExpr("doc_id as item", "substr(text, 20, 5 + doc_id) as passage")
+    pairs = lambda: sorted((r.doc_id, r["item"]) for r in passages.passages_in(docs, wanted).collect())
+    whole = pairs()
+    texts, parts = docs.collect(), wanted.collect()
+    assert whole == sorted((d.doc_id, p["item"]) for d in texts for p in parts if d.text and p.passage in d.text)
+    monkeypatch.setattr(passages, "SENT_ROWS", 7)
+    assert pairs() == whole
