@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+from quirekit.functions.text import strip
+
 # Statuses and phrases of exhausted accounts and of passing trouble.
 EXHAUSTED_STATUS = (402, 403)
 TRANSIENT_STATUS = (408, 429, 500, 502, 503, 504)
@@ -17,6 +19,12 @@ DELAY_KEYS = ("retryDelay", "quotaResetDelay")
 RESET_KEY = "quotaResetTimeStamp"
 
 
+def is_passing(status: int | None, message: str) -> bool:
+    """Whether trouble with a provider is of a kind that waiting or another account may end."""
+    known = status in EXHAUSTED_STATUS + TRANSIENT_STATUS
+    return known or any(w in message.lower() for w in EXHAUSTED_WORDS + TRANSIENT_WORDS)
+
+
 def any_word(text: Column, words: tuple[str, ...]) -> Column:
     """Whether the lower-cased text holds one of the words."""
     return F.lower(text).rlike("|".join(words))
@@ -66,6 +74,20 @@ def backoff_seconds(attempt: Column, provider_trouble: Column) -> Column:
     return F.least(F.pow(F.lit(2.0), attempt), F.when(provider_trouble, 12.0).otherwise(8.0)).cast("int")
 
 
+def parse_response(response: Column) -> Column:
+    """Text and finish reason of a chat response in JSON, as struct(text, finish_reason); parts of a text are joined by lines.
+
+    What isn't such a response has an empty text and reason."""
+    choice = "struct<finish_reason:string,finishReason:string,message:struct<content:string>>"
+    first = F.get(F.from_json(response, f"struct<choices:array<{choice}>>")["choices"], F.lit(0))
+    content = first["message"]["content"]
+    parts = F.from_json(content, "array<struct<text:string>>")
+    joined = F.array_join(F.filter(F.transform(parts, lambda p: p["text"]), lambda x: F.coalesce(x, F.lit("")) != ""), "\n")
+    text = F.when(content.startswith("[") & parts.isNotNull(), joined).otherwise(content)
+    reason = F.coalesce(F.nullif(first["finish_reason"], F.lit("")), first["finishReason"], F.lit(""))
+    return F.struct(strip(F.coalesce(text, F.lit(""))).alias("text"), reason.alias("finish_reason"))
+
+
 def reason_in(message: Column) -> Column:
     """Finish reason that an error text names, normalised; empty if it names none."""
     found = [F.nullif(F.regexp_extract(message, p, 1), F.lit("")) for p in (r'(?i)"finishReason"\s*:\s*"([^"]+)"', r"(?i)'finishReason'\s*:\s*'([^']+)'", r"(?i)finishReason\s*=\s*([A-Za-z0-9_.]+)")]

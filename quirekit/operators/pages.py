@@ -35,6 +35,19 @@ def sanitize_table(block: pd.Series) -> pd.DataFrame:
     return pd.DataFrame({"html": [None if e else out for e, out in rows], "error": ["; ".join(e) or None for e, _ in rows]})
 
 
+def _page_or_error(text: str) -> tuple[str | None, str | None]:
+    try:
+        return markup.sanitized_page(text), None
+    except ValueError as e:
+        return None, str(e)
+
+
+@F.pandas_udf(T.StructType().add("md", "string").add("error", "string"))
+def sanitize_page(text: pd.Series) -> pd.DataFrame:
+    """A page with its tables written anew, or why one can't be."""
+    return pd.DataFrame([_page_or_error(t or "") for t in text], columns=["md", "error"])
+
+
 @F.pandas_udf(T.StructType().add("md", "string").add("n_notes", T.IntegerType()))
 def _extract_notes(text: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([markup.extract_notes(t or "") for t in text], columns=["md", "n_notes"])

@@ -6,11 +6,11 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from quirekit.plans import books, checks, files, pages
+from quirekit.plans import books, calls, checks, files, pages
 
 Query = Callable[[SparkSession, str], DataFrame]
 
-_MODULES: tuple = (books, pages, files, checks)
+_MODULES: tuple = (books, pages, files, checks, calls)
 
 
 def queries() -> dict[str, Query]:

@@ -55,6 +55,23 @@ def manifest(spark: SparkSession, path: str) -> DataFrame:
     return df.select("source_pdf", "source_pdf_sha256", "dpi", "format", F.inline("pages"))
 
 
+def scaled(width: Column, height: Column, most: int | None) -> Column:
+    """Size of a page image within ``most`` pixels a side, as struct(width, height); smaller ones and ``most`` None stay."""
+    if most is None:
+        return F.struct(width.alias("width"), height.alias("height"))
+    factor = F.least(F.lit(1.0), F.least(F.lit(float(most)) / width, F.lit(float(most)) / height))
+    fit = lambda n: F.greatest(F.lit(1), F.floor(n * factor)).cast("int")
+    return F.struct(fit(width).alias("width"), fit(height).alias("height"))
+
+
+def manifest_of(rendered_pages: DataFrame, settings: dict) -> dict:
+    """The manifest of a render: its settings and its pages (pdf_page, output_index, file, width, height, sha256) in order.
+
+    One book's pages fit the driver, as its manifest is one file; ``manifest`` reads it back, ``write_json`` writes it."""
+    names = ("pdf_page", "output_index", "file", "width", "height", "sha256")
+    return {"version": 1, **settings, "pages": [r.asDict() for r in rendered_pages.select(*names).orderBy("pdf_page").collect()]}
+
+
 def first_line(spark: SparkSession, path: str) -> DataFrame:
     """The first line that isn't blank of each text file: an indirection to another path."""
     df = spark.read.text(path, wholetext=True)
