@@ -12,7 +12,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirekit.llm.common import texts_of, written
+from quirekit.llm.common import small, texts_of, written
 
 #: Bytes of context. A text is preceded by DEPTH bytes EDGE and followed by one, which UTF-8 never holds.
 DEPTH, EDGE = 4, 0xFF
@@ -181,7 +181,7 @@ def grams(texts: list[bytes]) -> tuple[np.ndarray, np.ndarray]:
 
 def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, list[bytes]]]:
     """Rows in parts of about PART bytes of text."""
-    for b in batches:
+    for b in small(batches):
         texts = texts_of(b)
         cols = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names) if n != "text"}
         i, held = 0, 0

@@ -25,7 +25,7 @@ SAMPLE_ROWS, SAMPLE_FEATURES = 6000, 6_000_000
 LEAST_ROWS = 10
 EDGE = re.compile(r"\W*")
 #: Words remembered by a Python worker.
-CACHED = 500_000
+CACHED = 100_000
 
 
 def _slot(kind: str, value: str) -> int:
@@ -171,7 +171,7 @@ def score_quality(docs: DataFrame, model: OrdinalModel, *, least: float = 0.5) -
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         f, m = Features(), shared.value
-        for b in batches:
+        for b in small(batches):
             tails = [m.tails(f.of(x or "")) for x in b.column(at).to_pylist()]
             e = pa.array([float(t.sum()) for t in tails], pa.float64())
             last = pa.array([float(t[-1]) for t in tails], pa.float64())

@@ -66,11 +66,11 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
     stripes = 1 << (CELL_BITS - STRIPE_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        s, total = Shingler(width), np.zeros(1 << CELL_BITS, np.int64)
+        s, total = Shingler(width), np.zeros(1 << CELL_BITS, np.uint32)
         for b in small(batches):
             held = [s.of(t) for t in texts_of(b)]
             if held:
-                total += np.bincount((np.concatenate(held) >> np.uint64(64 - CELL_BITS)).astype(np.int64), minlength=1 << CELL_BITS)
+                np.add.at(total, (np.concatenate(held) >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
         # the narrowest type that holds a stripe's counts
         parts = [p.astype(next(t for t in COUNT_TYPES if p.max() <= np.iinfo(t).max)) for p in total.reshape(stripes, -1)]
         yield pa.RecordBatch.from_arrays([pa.array(np.arange(stripes, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["stripe", "counts"])
