@@ -173,7 +173,7 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     Alternates the two star operations (Kiveris et al., 2014): each vertex links its larger neighbours, then its
     smaller neighbours, to the smallest vertex around it. Every round is a table in the shared folder, so nothing
     is gathered on the driver and a lost executor repeats one round at most. Vertices without edges aren't listed.
-    The rows of one vertex never meet in one task: minima are pre-aggregated and joined back with skew splitting.
+    Minima are pre-aggregated; AQE splits the join that brings them back where one vertex has very many neighbours.
     """
 
     def least(e: DataFrame) -> DataFrame:

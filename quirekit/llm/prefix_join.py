@@ -344,3 +344,22 @@ def jaccard_components(docs: DataFrame, *, width: int = 3, percent: int = 90, ta
 def op9_prefix_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``documents``: sets of three words, likeness 0.9."""
     return jaccard_components(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: The same by all pairs that share a shingle.
+ORACLE = r"""
+WITH RECURSIVE w AS (
+  SELECT doc_id, row_number() OVER () AS k, list_filter(regexp_split_to_array(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\x20\x09-\x0D]+'), lambda x: x <> '') AS w FROM documents
+), g AS (
+  SELECT k, doc_id, w, unnest(range(1, greatest(len(w) - 2, 1) + 1)) AS i FROM w WHERE len(w) > 0
+), s AS (SELECT DISTINCT k, doc_id, array_to_string(w[i:i + 2], ' ') AS shingle FROM g
+), n AS (SELECT k, count(*) AS n FROM s GROUP BY 1
+), p AS (
+  SELECT a.k AS ka, b.k AS kb, a.doc_id AS a, b.doc_id AS b, count(*) AS shared FROM s a JOIN s b ON a.shingle = b.shingle AND a.k < b.k WHERE a.doc_id IS NOT NULL AND b.doc_id IS NOT NULL GROUP BY ALL
+), l AS (
+  SELECT a, b FROM p JOIN n x ON x.k = ka JOIN n y ON y.k = kb WHERE 100 * shared >= 90 * (x.n + y.n - shared)
+), e AS (SELECT a, b FROM l UNION SELECT b, a FROM l
+), r AS (SELECT DISTINCT a AS doc_id, a AS other FROM e UNION SELECT r.doc_id, e.b FROM r JOIN e ON e.a = r.other
+), c AS (SELECT doc_id, min(other) AS c FROM r GROUP BY 1)
+SELECT w.doc_id, coalesce(n.n, 0)::BIGINT AS n_shingles, CASE WHEN n.n > 0 THEN coalesce(c.c, w.doc_id) ELSE w.doc_id END AS component_id FROM w LEFT JOIN n USING (k) LEFT JOIN c ON c.doc_id = w.doc_id
+"""

@@ -7,7 +7,9 @@ from quirekit.llm.context_tree import op5_context_tree
 from quirekit.llm.order_minhash import op4_order_minhash
 from quirekit.llm.ordinal_quality import op7_ordinal_quality
 from quirekit.llm.power_pack import op3_power_pack
+from quirekit.llm.prefix_join import ORACLE as OP9
 from quirekit.llm.prefix_join import op9_prefix_join
+from quirekit.llm.rotated_codes import ORACLE as OP6
 from quirekit.llm.rotated_codes import op6_rotated_codes
 from quirekit.llm.skip_chain_pii import op2_skip_chain_pii
 from quirekit.llm.slot_table import op10_slot_table
@@ -26,4 +28,4 @@ def queries() -> dict:
 
 def oracle_sql() -> dict[str, str]:
     """Query name to DuckDB SQL."""
-    return {"op1_url_reputation": OP1, "op8_source_mix": OP8, "op10_slot_table": op10()}
+    return {"op1_url_reputation": OP1, "op6_rotated_codes": OP6, "op8_source_mix": OP8, "op9_prefix_join": OP9, "op10_slot_table": op10()}

@@ -238,3 +238,16 @@ def _out(rows: list[tuple]) -> pa.RecordBatch:
 def op6_rotated_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All ``embeddings``, linked from cosine 0.9 on."""
     return link_vectors(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
+#: The same by all pairs.
+ORACLE = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, embedding::DOUBLE[] AS e FROM embeddings WHERE vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0 AND len(list_filter(embedding, lambda x: x <> 0)) > 0
+), l AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM v a JOIN v b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e) WHERE list_cosine_similarity(a.e, b.e) >= 0.9
+), r AS (SELECT DISTINCT a AS vec_id, a AS other FROM l UNION SELECT r.vec_id, l.b FROM r JOIN l ON l.a = r.other
+), c AS (SELECT vec_id, min(other) AS c FROM r GROUP BY 1
+), n AS (SELECT a AS vec_id, count(*) AS n FROM l GROUP BY 1)
+SELECT x.vec_id, coalesce(n.n, 0)::BIGINT AS n_links, coalesce(c.c, x.vec_id) AS component_id, coalesce(c.c, x.vec_id) = x.vec_id AS kept FROM embeddings x LEFT JOIN n USING (vec_id) LEFT JOIN c USING (vec_id)
+"""
