@@ -30,7 +30,7 @@ def shared_dir(spark: SparkSession) -> str:
     """A fresh folder under ``spark.checkpoint.dir``; only where that is unset, in local mode, a temporary one is set."""
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        if not spark.sparkContext.master.startswith("local["):
+        if spark.sparkContext.master.partition("[")[0] != "local":
             raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = tempfile.mkdtemp(prefix="quirekit-checkpoint-")
         spark.conf.set("spark.checkpoint.dir", base)
