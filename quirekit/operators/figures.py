@@ -96,6 +96,17 @@ def needs_crop(tokens: Column) -> Column:
     return F.filter(tokens, lambda t: F.regexp_extract(path(t), "[^/]*$", 0).rlike(r"(?i)^[0-9]+(\.(jpg|jpeg|png|webp))?$") | ~path(t).contains("figures/"))
 
 
+def crop_pages(pages: DataFrame, images: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Pages (page_no, md) whose figure tokens name crops of their images (page_no, w, h, px), and the crops with their grey values.
+
+    Only images of pages with a token that needs a crop are looked at."""
+    tokens = F.regexp_extract_all(F.col("md"), F.lit(FIGURE_TOKEN), F.lit(1))
+    due = images.join(pages.where(F.size(needs_crop(tokens)) > 0).select("page_no"), "page_no", "left_semi")
+    found = crops(find_figures(due, "page_no").join(images.select("page_no", "w", "h"), "page_no"), "page_no")
+    pixels = found.join(images.select("page_no", "px"), "page_no").withColumn("px", cut(F.col("px"), *map(F.col, ("w", "x0", "y0", "x1", "y1"))))
+    return place_crops(pages, found), pixels
+
+
 def place_crops(pages: DataFrame, found: DataFrame, page: str = "page_no", text: str = "md") -> DataFrame:
     """Pages with their figure tokens naming the page's crops in order; tokens beyond the last crop name it again.
 

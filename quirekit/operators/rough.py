@@ -64,6 +64,12 @@ def cleanup(c: Column) -> Column:
     return strip_page_numbers(F.array_join(F.flatten(F.zip_with(between, flat, lambda a, b: F.filter(F.array(a, b), lambda x: x.isNotNull()))), ""))
 
 
+def typeset(books: DataFrame, *, repair: bool = False) -> DataFrame:
+    """Books (book_id, md) split at their headings, each section cleaned and set in paragraphs, and put together again."""
+    parts = paragraphs.sections(books, "md").withColumn("md", pages.reflow(cleanup(F.col("body"))))
+    return final_text(parts, repair=repair)
+
+
 def final_text(sections: DataFrame, order: str = "section_no", text: str = "md", *, repair: bool = False) -> DataFrame:
     """Sections of a book in order as one text (book_id, md), with function words put right between wide characters if ``repair``."""
     rows = sections.withColumn(text, pages.repair_inline(F.col(text))["text"]) if repair else sections

@@ -48,6 +48,8 @@ NOTE_CELLS = Fixture(
 )
 CLEANUPS = Fixture("id int, text string", ((1, "see<sup>first\n line\n</sup> on\n·12·\nword word word"), (2, "<sup>a</sup>\n\n\n\n<sup>b\n\nc</sup> ·3· d   e"), (3, "同同同 同同同"), (4, "")))
 FINALS = Fixture("book_id string, section_no int, md string", (("p", 10, " last \n"), ("p", 2, "中 and 文"), ("p", 3, "  "), ("q", 1, "x and y")))
+DRAFTS = Fixture("book_id string, md string", (("p", "---\ntitle: x\n---\nbefore the first heading\n\n# One\n<div>kept</div>\na line that goes on for long enough to be joined with the next\none.\n·12·\n# Two\n  indented text\n"), ("q", "# Only\nshort line\nsame same same")))
+FIGURE_PAGES = Fixture("page_no int, md string", ((7, f"before\n\n{FIGURE}️ 7.jpg\n\nafter"), (8, "no token"), (9, f"{FIGURE}️ 9.jpg")))
 BOXES = Fixture("id int, w int, h int, box_no int, x0 int, y0 int, x1 int, y1 int", ((1, 400, 600, 1, 80, 120, 320, 360), (1, 400, 600, 2, 0, 5, 395, 300), (2, 100, 100, 1, 2, 2, 98, 98), (3, 50, 40, 1, 20, 10, 30, 35)))
 CROPPED = Fixture("page_no int, box_no int, file string", ((1, 2, "figures/1-2.jpg"), (1, 1, "figures/1-1.jpg"), (3, 1, "figures/3-1.jpg"), (4, 1, "figures/4-1.jpg")))
 TOKENS = Fixture("page_no int, md string", ((1, f"a {FIGURE}️ 1.jpg b {FIGURE}️ 1.jpg c {FIGURE}️ 1.jpg"), (2, f"{FIGURE}️ 2.jpg"), (3, "none"), (4, f"{FIGURE}️ figures/4-1.jpg")))
@@ -142,6 +144,17 @@ def final_book(s: SparkSession, d: str) -> DataFrame:
     return rough.final_text(FINALS.df(s), repair=True)
 
 
+def typeset_books(s: SparkSession, d: str) -> DataFrame:
+    return rough.typeset(DRAFTS.df(s))
+
+
+def figure_pages(s: SparkSession, d: str) -> DataFrame:
+    """A page of 400 by 600 with a dark rectangle, and two without a figure or a token."""
+    px = F.transform(F.sequence(F.lit(0), F.lit(400 * 600 - 1)), lambda i: F.when((F.col("page_no") < 9) & ((i % 400) >= 80) & ((i % 400) < 320) & (i >= 120 * 400) & (i < 360 * 400), 0).otherwise(255))
+    images = FIGURE_PAGES.df(s).select("page_no", F.lit(400).alias("w"), F.lit(600).alias("h"), px.alias("px"))
+    return figures.crop_pages(FIGURE_PAGES.df(s), images)[0]
+
+
 def crop_boxes(s: SparkSession, d: str) -> DataFrame:
     return figures.crops(BOXES.df(s))
 
@@ -173,7 +186,7 @@ QUERIES = {
     f.__name__: f
     for f in (
         book_findings, rough_merge, rough_merge_lenient, rough_report, rough_problems, rough_documents, merged_pages, package_problems, package_metrics, chapter_files, renamed_entries, structure_details, retry_feedback, sentence_places, sentence_counts,
-        noted_tables, note_totals, cleanup_text, final_book, crop_boxes, cropped_pixels, figure_tokens, paragraph_split_raw, prompt_hash,
+        noted_tables, note_totals, cleanup_text, final_book, typeset_books, figure_pages, crop_boxes, cropped_pixels, figure_tokens, paragraph_split_raw, prompt_hash,
     )
 }
 
@@ -273,5 +286,7 @@ ORACLES = {
       (3, '<table><tr><td>v①</td><td>w②</td></tr></table>~~  <sup>【①in html】</sup>~  <sup>【②in html】</sup>~', 2), (4, '| h |~| --- |~| a<sup>【】</sup> |', 0), (5, 'plain 【aside words】', 0)) AS v(page_no, md, n_notes)""",
     "cleanup_text": f"SELECT id, {_NL('t')} AS text FROM (VALUES (1, 'see<sup>first line</sup> on~word word word'), (2, '<sup>a</sup>~~<sup>b c</sup> d e'), (3, '同同同 同同同'), (4, '')) AS v(id, t)",
     "final_book": f"SELECT book_id, {_NL('t')} AS md FROM (VALUES ('p', '中和文~~last~'), ('q', 'x and y~')) AS v(book_id, t)",
+    "figure_pages": f"SELECT page_no, {_NL('md')} AS md, changed FROM (VALUES (7, 'before~~{_MARK} figures/7-1.jpg~~after', true), (8, 'no token', false), (9, '{_MARK} 9.jpg', false)) AS v(page_no, md, changed)",
+    "typeset_books": f"SELECT book_id, {_NL('t')} AS md FROM (VALUES ('p', '---~title: x~---~~before the first heading~~# One~~  <div>kept</div> a line that goes on for long enough to be joined with the next one.~~# Two~~  indented text~'), ('q', '# Only~~  short line~~same same same~')) AS v(book_id, t)",
     "figure_tokens": f"SELECT * FROM (VALUES (1, 'a {_MARK} figures/1-1.jpg b {_MARK} figures/1-2.jpg c {_MARK} figures/1-2.jpg', true), (2, '{_MARK} 2.jpg', false), (3, 'none', false), (4, '{_MARK} figures/4-1.jpg', false)) AS v(page_no, md, changed)",
 }
