@@ -601,7 +601,7 @@ def test_targets_stop_at_the_cap(spark):
 # 9: Jaccard join
 
 
-@pytest.mark.parametrize(("width", "percent", "block"), [(3, 90, 512), (5, 80, 512), (3, 90, 3), (2, 60, 4)])
+@pytest.mark.parametrize(("width", "percent", "block"), [(3, 90, 512), (5, 80, 3), (2, 60, 4)])
 def test_components_equal_brute_force(spark, docs, none, monkeypatch, width, percent, block):
     monkeypatch.setattr(pj, "BLOCK", block)
     rng = np.random.default_rng(9)
