@@ -8,14 +8,17 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quirekit.llm.common import small, texts_of, written
+from quirekit.llm.common import small, texts_of, whole_runs, written
 
 #: Bytes of context. A text is preceded by DEPTH bytes EDGE and followed by one, which UTF-8 never holds.
 DEPTH, EDGE = 4, 0xFF
+#: Contexts are handled in whole sets that share so many last bytes: at most 256^(DEPTH - KEPT + 1) grams a set.
+KEPT = 3
 #: What a counted key is: a byte after its context, a word, the end of a text.
 GRAM, TOKEN, END, DOC = 0, 1, 2, 3
 #: At most so many keys of each kind are frequent: those with over 1 in so many of all occurrences.
@@ -60,20 +63,22 @@ def mixed(zeros: np.ndarray, ones: np.ndarray, below: np.ndarray) -> tuple[np.nd
     return both, np.exp(LOG_HALF + own - both), (ones + 0.5) / (zeros + ones + 1)
 
 
-class Subtree:
-    """The contexts that share their last two bytes. ``grams``: sorted codes, last context byte first, then the byte."""
+class Chunk:
+    """Whole sets of grams that share their last three context bytes, KEPT in all. ``grams``: sorted codes, last context byte first, then the byte."""
 
     def __init__(self, grams: np.ndarray, counts: np.ndarray) -> None:
         x = grams & 255
-        self.counts = np.bincount(x, weights=counts, minlength=256)
-        self.below = np.zeros(256)  # log weighted probabilities at depth 2, by place
-        self.places = []  # for each bit: place, bit, probability of a one at depth 2
+        self.lasts, self.of = np.unique(grams >> (8 * (DEPTH - 1)), return_inverse=True)
+        size = 256 * len(self.lasts)
+        self.counts = np.bincount(256 * self.of + x, weights=counts, minlength=size).reshape(-1, 256)
+        self.below = np.zeros(size)  # sums of log weighted probabilities at depth KEPT, by last two bytes and place
+        self.places = []  # for each bit: place, bit, probability of a one at depth KEPT
         for b in range(8):
             bit = (x >> (7 - b)) & 1
             step = (x >> (8 - b)) | (1 << b)
             child = child_first = p = log_child = None
             levels = []
-            for d in range(DEPTH, 1, -1):
+            for d in range(DEPTH, KEPT - 1, -1):
                 node = (grams >> (8 + 8 * (DEPTH - d))) << 8 | step
                 first, ids = np.unique(node, return_index=True, return_inverse=True)[1:]
                 zeros = np.bincount(ids, weights=np.where(bit == 0, counts, 0.0))
@@ -88,14 +93,18 @@ class Subtree:
                 child_first, log_child = first, log_w
             for w, own in levels:
                 p = w * own + (1 - w) * p
-            self.below[step[first]] = log_w
+            self.below += np.bincount(256 * self.of[first] + step[first], weights=log_w, minlength=size)
             self.places.append((step, bit, p))
+        self.below = self.below.reshape(-1, 256)
 
-    def log10(self, own: np.ndarray, rest: np.ndarray) -> np.ndarray:
-        """Log10 probability of each gram; at a place, own + rest * (probability at depth 2) is that at depth 0."""
-        total = np.zeros(len(self.places[0][0]))
+    def log10(self, weight: np.ndarray, estimate: np.ndarray, own: np.ndarray, rest: np.ndarray) -> np.ndarray:
+        """Log10 probability of each gram, from tables by ``lasts`` and place: the mixture at depth 2, and own + rest * (what
+        is at depth 2) as that at depth 0."""
+        total = np.zeros(len(self.of))
         for step, bit, p in self.places:
-            one = own[step] + rest[step] * p
+            at = self.of, step
+            two = weight[at] * estimate[at] + (1 - weight[at]) * p
+            one = own[at] + rest[at] * two
             total += np.log10(np.where(bit == 1, one, 1 - one))
         return total
 
@@ -250,24 +259,33 @@ def weigh_tree(counts: DataFrame) -> DataFrame:
     """Log10 probability (column log10) of each byte after its context under the weighted tree of training counts.
 
     Every place of the binary decomposition of a byte has its own tree, whose nodes are the contexts of 0 to DEPTH
-    bytes; a node mixes its estimate half and half with the product of its children's. Subtrees of two last bytes
-    are handled in parallel; the two levels above them have at most 257 nodes and meet on the driver.
+    bytes; a node mixes its estimate half and half with the product of its children's. Grams are streamed in order, in whole
+    sets that share their last KEPT bytes, so a task's memory is bounded; what they give to the nodes of two last bytes is
+    summed; the two levels above have at most 257 nodes and meet on the driver. A second pass takes the mixtures down again.
     """
-    table = counts.where(F.col("kind") == GRAM).select("key", "train", "every", F.shiftright("key", 8 * (DEPTH - 1)).alias("last"))
-    last1 = F.shiftright("last", 8)
+    grams = counts.where(F.col("kind") == GRAM).select("key", "train", "every", F.shiftright("key", 8 * (DEPTH - 1)).alias("last"))
+    ordered = lambda df: df.withColumn("set", F.shiftright("key", 8 * (DEPTH - KEPT + 1))).repartition("last").sortWithinPartitions("last", "key")
+    vectors = "last long, counts binary, below binary"
 
-    def bottom(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("key")
-        t = Subtree(pdf["key"].to_numpy(), pdf["train"].to_numpy(np.float64))
-        return pd.DataFrame({"last": [int(pdf["last"].iloc[0])], "counts": [t.counts.tobytes()], "below": [t.below.tobytes()]})
+    def bottom(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for t in whole_runs(batches, "set"):
+            c = Chunk(t.column("key").to_numpy(), t.column("train").to_numpy().astype(np.float64))
+            yield pa.RecordBatch.from_arrays([pa.array(c.lasts), *(pa.array([x.tobytes() for x in v], pa.binary()) for v in (c.counts, c.below))], names=["last", "counts", "below"])
 
-    def middle(pdf: pd.DataFrame) -> pd.DataFrame:
-        add = lambda c: np.sum([np.frombuffer(x) for x in pdf[c]], axis=0)
-        return pd.DataFrame({"last": [int(pdf["last"].iloc[0])], "counts": [add("counts").tobytes()], "below": [add("below").tobytes()]})
+    def total_of(pdf: pd.DataFrame, column: str) -> np.ndarray:
+        return np.sum([np.frombuffer(x) for x in pdf[column]], axis=0)
 
-    vectors = "last long, counts binary, below binary"
-    deep = table.groupBy("last").applyInPandas(bottom, vectors)
-    rows = deep.withColumn("last", last1).groupBy("last").applyInPandas(middle, vectors).collect()
+    def second(pdf: pd.DataFrame) -> pd.DataFrame:
+        n = total_of(pdf, "counts")
+        both, weight, estimate = mixed(*dense_bits(n), total_of(pdf, "below"))
+        return pd.DataFrame({"last": pdf["last"].iloc[:1], "counts": [n.tobytes()], "below": [both.tobytes()], "weight": [weight.tobytes()], "estimate": [estimate.tobytes()]})
+
+    def first(pdf: pd.DataFrame) -> pd.DataFrame:
+        return pd.DataFrame({"last": pdf["last"].iloc[:1], "counts": [total_of(pdf, "counts").tobytes()], "below": [total_of(pdf, "below").tobytes()]})
+
+    deep = ordered(grams).mapInArrow(bottom, vectors)
+    nodes2 = written(deep.groupBy("last").applyInPandas(second, vectors + ", weight binary, estimate binary"))
+    rows = nodes2.select(F.shiftright("last", 8).alias("last"), "counts", "below").groupBy("last").applyInPandas(first, vectors).collect()
     nodes = {r["last"]: (np.frombuffer(r["counts"]), mixed(*dense_bits(np.frombuffer(r["counts"])), np.frombuffer(r["below"]))) for r in sorted(rows)}
     total = np.sum([c for c, _ in nodes.values()], axis=0) if nodes else np.zeros(256)
     _, w0, p0 = mixed(*dense_bits(total), np.sum([m[0] for _, m in nodes.values()], axis=0) if nodes else np.zeros(256))
@@ -275,12 +293,21 @@ def weigh_tree(counts: DataFrame) -> DataFrame:
     lines = {k: (w0 * p0 + (1 - w0) * w1 * p1, (1 - w0) * (1 - w1)) for k, (_, (_, w1, p1)) in nodes.items()}
     shared = counts.sparkSession.sparkContext.broadcast(lines)
 
-    def top(pdf: pd.DataFrame) -> pd.DataFrame:
-        pdf = pdf.sort_values("key")
-        t = Subtree(pdf["key"].to_numpy(), pdf["train"].to_numpy(np.float64))
-        return pd.DataFrame({"key": pdf["key"], "every": pdf["every"], "log10": t.log10(*shared.value[int(pdf["last"].iloc[0]) >> 8])})
-
-    return written(table.groupBy("last").applyInPandas(top, "key long, every long, log10 double"))
+    def top(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        # the row of a node of two last bytes comes before its grams
+        tables: dict[int, tuple[np.ndarray, ...]] = {}
+        for t in whole_runs(batches, "set"):
+            head = t.filter(pc.is_valid(t.column("weight")))
+            tables.update({k: (np.frombuffer(w), np.frombuffer(e), *shared.value[k >> 8]) for k, w, e in zip(*(head.column(i).to_pylist() for i in ("last", "weight", "estimate")), strict=True)})
+            t = t.filter(pc.is_null(t.column("weight")))
+            if t.num_rows:
+                c = Chunk(t.column("key").to_numpy(), t.column("train").to_numpy().astype(np.float64))
+                tables = {k: v for k, v in tables.items() if k >= c.lasts[0]}
+                log10 = c.log10(*(np.stack([tables[k][i] for k in c.lasts.tolist()]) for i in range(4)))
+                yield pa.RecordBatch.from_arrays([t.column("key").combine_chunks(), t.column("every").combine_chunks(), pa.array(log10)], names=["key", "every", "log10"])
+
+    heads = nodes2.select(F.lit(-1).cast("long").alias("key"), F.lit(0).cast("long").alias("train"), F.lit(0).cast("long").alias("every"), "last", "weight", "estimate")
+    return written(ordered(grams.unionByName(heads, allowMissingColumns=True)).mapInArrow(top, "key long, every long, log10 double"))
 
 
 def score_texts(docs: DataFrame) -> DataFrame:
