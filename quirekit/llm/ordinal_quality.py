@@ -24,8 +24,8 @@ SAMPLE_ROWS, SAMPLE_FEATURES = 6000, 6_000_000
 #: Features in fewer sampled rows than this keep the weight zero.
 LEAST_ROWS = 10
 EDGE = re.compile(r"\W*")
-#: Words remembered by a Python worker.
-CACHED = 100_000
+#: Words of a generation that a Python worker remembers; those of the generation before are kept as long as they occur.
+CACHED = 50_000
 
 
 def _slot(kind: str, value: str) -> int:
@@ -37,6 +37,7 @@ class Features:
 
     def __init__(self) -> None:
         self.known: dict[str, tuple[int, int, int, int]] = {}
+        self.older: dict[str, tuple[int, int, int, int]] = {}
 
     def _word(self, w: str) -> tuple[int, int, int, int]:
         begin = EDGE.match(w).end()
@@ -48,14 +49,12 @@ class Features:
 
     def of(self, text: str) -> np.ndarray:
         words = text.split()
-        known = self.known
-        if len(known) > CACHED:
-            known.clear()
-        for w in set(words):
+        if len(self.known) > CACHED:
+            self.known, self.older = {}, self.known
+        known, distinct, n = self.known, set(words), len(words)
+        for w in distinct:
             if w not in known:
-                known[w] = self._word(w)
-        n = len(words)
-        distinct = set(words)
+                known[w] = self.older.get(w) or self._word(w)
         slots = {x for w in distinct for x in known[w][:2]}
         slots.discard(-1)
         if n:
