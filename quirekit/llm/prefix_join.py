@@ -61,8 +61,18 @@ def prefix_length(n: int, percent: int) -> int:
     return n - -(-n * percent // 100) + 1
 
 
-def _histogram(docs: DataFrame, width: int) -> np.ndarray:
-    """How many documents' sets hold a shingle of each cell."""
+def _narrow(counts: np.ndarray) -> bytes:
+    """The counts in the narrowest type that holds them."""
+    return counts.astype(next(t for t in COUNT_TYPES if counts.max() <= np.iinfo(t).max)).tobytes()
+
+
+def _counts(held: bytes) -> np.ndarray:
+    """A stripe's counts as ``_narrow`` left them."""
+    return np.frombuffer(held, {np.dtype(t).itemsize: t for t in COUNT_TYPES}[len(held) >> STRIPE_BITS])
+
+
+def _histogram(docs: DataFrame, width: int) -> dict[int, bytes]:
+    """How many documents' sets hold a shingle of each cell: stripes of cells, each in its narrowest type."""
     stripes = 1 << (CELL_BITS - STRIPE_BITS)
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -71,21 +81,31 @@ def _histogram(docs: DataFrame, width: int) -> np.ndarray:
             held = [s.of(t) for t in texts_of(b)]
             if held:
                 np.add.at(total, (np.concatenate(held) >> np.uint64(64 - CELL_BITS)).astype(np.int64), 1)
-        # the narrowest type that holds a stripe's counts
-        parts = [p.astype(next(t for t in COUNT_TYPES if p.max() <= np.iinfo(t).max)) for p in total.reshape(stripes, -1)]
-        yield pa.RecordBatch.from_arrays([pa.array(np.arange(stripes, dtype=np.int32)), pa.array([p.tobytes() for p in parts], pa.binary())], names=["stripe", "counts"])
+        parts = [_narrow(p) for p in total.reshape(stripes, -1)]
+        yield pa.RecordBatch.from_arrays([pa.array(np.arange(stripes, dtype=np.int32)), pa.array(parts, pa.binary())], names=["stripe", "counts"])
 
     def add(pdf: pd.DataFrame) -> pd.DataFrame:
-        size = 1 << STRIPE_BITS
-        width = {np.dtype(t).itemsize: t for t in COUNT_TYPES}
-        total = sum(np.frombuffer(x, width[len(x) // size]).astype(np.int64) for x in pdf["counts"])
-        return pd.DataFrame({"stripe": pdf["stripe"].iloc[:1], "counts": [total.tobytes()]})
+        total = np.zeros(1 << STRIPE_BITS, np.int64)
+        for x in pdf["counts"]:
+            total += _counts(x)
+        return pd.DataFrame({"stripe": pdf["stripe"].iloc[:1], "counts": [_narrow(total)]})
 
     got = docs.select("text").mapInArrow(count, "stripe int, counts binary").groupBy("stripe").applyInPandas(add, "stripe int, counts binary").collect()
-    total = np.zeros((stripes, 1 << STRIPE_BITS), np.int64)
-    for r in got:
-        total[r["stripe"]] = np.frombuffer(r["counts"], np.int64)
-    return total.ravel()
+    return {r["stripe"]: r["counts"] for r in got}
+
+
+def _ranks(docs: DataFrame, width: int) -> np.ndarray:
+    """For each cell the place of its count among all counts that occur: places fit a narrower type than counts.
+
+    The driver takes one stripe after another, so it never holds all counts in full width nor sorts them."""
+    held, cells = _histogram(docs, width), 1 << STRIPE_BITS
+    values = np.zeros(0, np.int64)
+    for x in held.values():
+        values = np.union1d(values, _counts(x).astype(np.int64))
+    ranks = np.zeros(1 << CELL_BITS, np.uint16 if len(values) <= 1 << 16 else np.uint32)
+    for stripe in list(held):
+        ranks[stripe * cells : (stripe + 1) * cells] = np.searchsorted(values, _counts(held.pop(stripe)).astype(np.int64))
+    return ranks
 
 
 def mark_of(h: np.ndarray) -> bytes:
@@ -130,9 +150,7 @@ def _prefixes(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """doc_id, n (size of the set), set_key (of the whole set, 16 bytes), group (of size and prefix), prefix and mark.
 
     Sets so small that none but equal ones can be as alike have neither prefix nor mark."""
-    # places of the counts among all counts rather than counts: they fit a narrower type
-    values, ranks = np.unique(_histogram(docs, width), return_inverse=True)
-    shared = docs.sparkSession.sparkContext.broadcast(ranks.astype(np.uint16 if len(values) <= 1 << 16 else np.uint32))
+    shared = docs.sparkSession.sparkContext.broadcast(_ranks(docs, width))
 
     def find(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         s, rank = Shingler(width), shared.value

@@ -3,6 +3,7 @@
 import hashlib
 import math
 import re
+import tracemalloc
 import zlib
 from collections import defaultdict
 
@@ -677,6 +678,27 @@ def test_a_shingle_of_thousands_of_unrelated_documents_makes_no_pairs(spark):
     assert got == {(k, k + 1) for k in range(0, 60, 2)}
 
 
+def test_prefix_histogram_stays_small_on_the_driver(spark):
+    vocabulary = np.array([f"w{i}" for i in range(3000)])
+    rng = np.random.default_rng(6)
+    texts = [" ".join(["same old words"] * (k % 2) + rng.choice(vocabulary, 400).tolist()) for k in range(700)] + ["", None]
+    df = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
+    pj._prefixes(df.limit(1), 3, 90)  # what is imported on first use doesn't count
+    tracemalloc.start()
+    pj._prefixes(df, 3, 90)
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    # an array of all cells takes 32 MB in eight bytes each
+    assert peak < 32 << 20
+    s, counts = pj.Shingler(3), np.zeros(1 << pj.CELL_BITS, np.int64)
+    for t in texts:
+        np.add.at(counts, (s.of(t or "") >> np.uint64(64 - pj.CELL_BITS)).astype(np.int64), 1)
+    assert counts.max() > 255  # stripes of two types
+    got = pj._ranks(df, 3)
+    assert (got == np.unique(counts, return_inverse=True)[1]).all() and got.dtype == np.uint16
+    assert not pj._ranks(df.where("false"), 3).any()
+
+
 # 10: sharding
 
 
