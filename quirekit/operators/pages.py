@@ -4,8 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-import pandas as pd
+import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,82 +15,79 @@ from quirekit.functions import markup
 from quirekit.functions.text import TABLE_BLOCK
 
 STRINGS = T.ArrayType(T.StringType())
+#: Bytes of texts that are Python objects at a time; a longer text is alone.
+PORTION = 1 << 20
 
 
-@F.pandas_udf(STRINGS)
-def page_errors(text: pd.Series) -> pd.Series:
-    """What is wrong with a page's text; null counts as empty."""
-    return text.map(lambda t: markup.page_errors(t or ""))
+def portions(texts: pa.Array, most: int = PORTION) -> Iterator[pa.Array]:
+    """The texts of a batch in slices of at most ``most`` bytes, or of one text."""
+    ends = np.cumsum(pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False), dtype=np.int64) + np.arange(1, len(texts) + 1)
+    i = 0
+    while i < len(texts):
+        j = max(i + 1, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + most, "right")))
+        yield texts.slice(i, j - i)
+        i = j
 
 
-@F.pandas_udf(STRINGS)
-def table_errors(block: pd.Series) -> pd.Series:
-    """What is wrong with an HTML table block."""
-    return block.map(lambda b: markup.read_table(b or "")[0])
+def of_texts(kind: T.DataType, read: Callable[[str | None], object]) -> Callable[[Column], Column]:
+    """A column function that has ``read``'s value of each text; a tuple is a row of a struct.
 
+    A batch of Spark's has up to 10,000 texts. It stays in Arrow, and only a portion of it is strings and results, so a worker's
+    memory doesn't grow with the batch's rows.
+    """
 
-@F.pandas_udf(T.StructType().add("html", "string").add("error", "string"))
-def sanitize_table(block: pd.Series) -> pd.DataFrame:
-    """The block written anew, or why it can't be."""
-    rows = [markup.read_table(b or "") for b in block]
-    return pd.DataFrame({"html": [None if e else out for e, out in rows], "error": ["; ".join(e) or None for e, _ in rows]})
-
-
-def _page_or_error(text: str) -> tuple[str | None, str | None]:
-    try:
-        return markup.sanitized_page(text), None
-    except ValueError as e:
-        return None, str(e)
-
-
-@F.pandas_udf(T.StructType().add("md", "string").add("error", "string"))
-def sanitize_page(text: pd.Series) -> pd.DataFrame:
-    """A page with its tables written anew, or why one can't be."""
-    return pd.DataFrame([_page_or_error(t or "") for t in text], columns=["md", "error"])
-
-
-@F.pandas_udf(T.StructType().add("md", "string").add("n_notes", T.IntegerType()))
-def _extract_notes(text: pd.Series) -> pd.DataFrame:
-    return pd.DataFrame([markup.extract_notes(t or "") for t in text], columns=["md", "n_notes"])
-
-
-@F.pandas_udf(T.StringType())
-def reflow(text: pd.Series) -> pd.Series:
-    """A section's lines as paragraphs."""
-    return text.map(lambda t: markup.reflow(t or ""))
-
+    @F.arrow_udf(kind)
+    def run(batches: Iterator[pa.Array]) -> Iterator[pa.Array]:
+        for texts in batches:
+            if not len(texts):
+                yield pa.array([], _arrow(kind))
+            for part in portions(texts):
+                got = [read(t) for t in part.to_pylist()]
+                if isinstance(kind, T.StructType):
+                    got = [dict(zip(kind.names, row, strict=True)) for row in got]
+                yield pa.array(got, _arrow(kind))
 
-@F.pandas_udf(T.StructType().add("text", "string").add("n", T.IntegerType()))
-def repair_inline(text: pd.Series) -> pd.DataFrame:
-    """English function words between full-width characters put right."""
-    return pd.DataFrame([markup.repair_inline(t or "") for t in text], columns=["text", "n"])
+    return run
 
 
-@F.pandas_udf(STRINGS)
-def typeset_paragraphs(text: pd.Series) -> pd.Series:
-    """Paragraphs with long ones cut after sentence ends."""
-    return text.map(lambda t: markup.typeset_paragraphs(t or ""))
+def _or_errors(block: str | None) -> tuple[str | None, str | None]:
+    errors, out = markup.read_table(block or "")
+    return None if errors else out, "; ".join(errors) or None
 
 
-@F.pandas_udf(T.StringType())
-def last_header(text: pd.Series) -> pd.Series:
-    """Header of the last table of a page, empty if there is none."""
-    return text.map(lambda t: markup.last_header(t or ""))
+def _page_or_error(text: str | None) -> tuple[str | None, str | None]:
+    try:
+        return markup.sanitized_page(text or ""), None
+    except ValueError as e:
+        return None, str(e)
 
 
-@F.pandas_udf(T.ArrayType(T.IntegerType()))
-def sentence_ends(text: pd.Series) -> pd.Series:
-    """Places of the marks after which a long paragraph may be cut."""
-    return text.map(lambda t: markup.sentence_ends(t or ""))
+HTML_OR_ERROR = T.StructType().add("html", "string").add("error", "string")
+PAGE_OR_ERROR = T.StructType().add("md", "string").add("error", "string")
+#: What is wrong with a page's text; null counts as empty.
+page_errors = of_texts(STRINGS, lambda t: markup.page_errors(t or ""))
+#: What is wrong with an HTML table block.
+table_errors = of_texts(STRINGS, lambda t: markup.read_table(t or "")[0])
+#: The block written anew, or why it can't be.
+sanitize_table = of_texts(HTML_OR_ERROR, _or_errors)
+#: A page with its tables written anew, or why one can't be.
+sanitize_page = of_texts(PAGE_OR_ERROR, _page_or_error)
+_extract_notes = of_texts(T.StructType().add("md", "string").add("n_notes", T.IntegerType()), lambda t: markup.extract_notes(t or ""))
+#: A section's lines as paragraphs.
+reflow = of_texts(T.StringType(), lambda t: markup.reflow(t or ""))
+#: English function words between full-width characters put right.
+repair_inline = of_texts(T.StructType().add("text", "string").add("n", T.IntegerType()), lambda t: markup.repair_inline(t or ""))
+#: Paragraphs with long ones cut after sentence ends.
+typeset_paragraphs = of_texts(STRINGS, lambda t: markup.typeset_paragraphs(t or ""))
+#: Header of the last table of a page, empty if there is none.
+last_header = of_texts(T.StringType(), lambda t: markup.last_header(t or ""))
+#: Places of the marks after which a long paragraph may be cut.
+sentence_ends = of_texts(T.ArrayType(T.IntegerType()), lambda t: markup.sentence_ends(t or ""))
 
 
 def split_long(text: Column, most: int = 250, slack: int = 200) -> Column:
     """One paragraph cut after sentence ends; short ones don't go to Python."""
-
-    @F.pandas_udf(STRINGS)
-    def cut(s: pd.Series) -> pd.Series:
-        return s.map(lambda t: None if t is None else markup.split_long(t, most, slack))
-
+    cut = of_texts(STRINGS, lambda t: None if t is None else markup.split_long(t, most, slack))
     return F.coalesce(cut(F.when(F.length(text) > most + slack, text)), F.array(F.coalesce(text, F.lit(""))))
 
 
@@ -134,6 +132,10 @@ def fold_pages(pages: DataFrame, book: str, page: str, text: str, extra: list[T.
 
 
 def _arrow(t: T.DataType) -> pa.DataType:
+    if isinstance(t, T.StructType):
+        return pa.struct([pa.field(f.name, _arrow(f.dataType)) for f in t.fields])
+    if isinstance(t, T.ArrayType):
+        return pa.list_(_arrow(t.elementType))
     return {"string": pa.string(), "long": pa.int64(), "bigint": pa.int64(), "int": pa.int32(), "boolean": pa.bool_()}[t.simpleString()]
 
 
